@@ -103,7 +103,7 @@ def evidence_number(df: DataFrame, column: str, shipped: str, ordered: str, key:
     )
 
 
-def reverse_code(df: DataFrame, column: str, code: str, unit: str, key: str, salt: str) -> DataFrame:
+def reverse_code(df: DataFrame, column: str, code: str, unit: str, keys: list[str], salt: str) -> DataFrame:
     """Password from a postcode (UPD-4): codes without letters give
     REVERSE(RIGHT(unit,4) + code); codes with a letter give a reversed
     20-character token; a NULL code matches neither branch."""
@@ -112,14 +112,14 @@ def reverse_code(df: DataFrame, column: str, code: str, unit: str, key: str, sal
         column,
         [
             (~has_letter(code), F.reverse(concat_strict(right(unit, 4), F.col(code)))),
-            (has_letter(code), F.reverse(keyed_token(key, salt=salt, length=20))),
+            (has_letter(code), F.reverse(keyed_token(*keys, salt=salt, length=20))),
         ],
     )
 
 
-def shorten_code(df: DataFrame, column: str, key: str, salt: str, from_len: int = 20, to_len: int = 4) -> DataFrame:
+def shorten_code(df: DataFrame, column: str, keys: list[str], salt: str, from_len: int = 20, to_len: int = 4) -> DataFrame:
     """Replace codes of ``from_len`` characters by a ``to_len``-character token (UPD-11)."""
-    return update(df, tsql_len(column) == from_len, {column: keyed_token(key, salt=salt, length=to_len)})
+    return update(df, tsql_len(column) == from_len, {column: keyed_token(*keys, salt=salt, length=to_len)})
 
 
 def mask_by_prefix(df: DataFrame, column: str, digits: list[str], key: str, salt: str, length: int = 25) -> DataFrame:
