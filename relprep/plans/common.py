@@ -20,7 +20,7 @@ from relprep.sources.tables import CATALOG_LAYOUT, ORDERS_LAYOUT, load, typed
 
 
 def order_lines(spark: SparkSession, base: str) -> DataFrame:
-    """Order lines with money typed once: line_total, discount as decimal(19,4)."""
+    """Order lines with money typed once: line_total, discount as decimal(18,4)."""
     li = load(spark, base, "lineitem")
     return li.select(
         F.col("l_orderkey").alias("order_id"),

@@ -24,7 +24,7 @@ from relprep.sources.tables import PUBLISHER_LAYOUT, load
 
 SQL_ORDERS_TARGET = """
     SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date,
-           CAST(o_totalprice AS DECIMAL(19,4)) AS total_price, c_custkey AS client_id,
+           CAST(o_totalprice AS DECIMAL(18,4)) AS total_price, c_custkey AS client_id,
            c_name AS client_name, c_mktsegment AS client_segment
     FROM customer JOIN orders ON c_custkey = o_custkey"""
 
@@ -36,7 +36,7 @@ def q_load_orders(spark: SparkSession, base: str) -> DataFrame:
 
 SQL_CATALOG = """
     SELECT p_partkey AS product_id, s_suppkey AS supplier_id, p_type AS unit,
-           CAST(p_retailprice AS DECIMAL(19,4)) AS unit_price, p_brand AS category,
+           CAST(p_retailprice AS DECIMAL(18,4)) AS unit_price, p_brand AS category,
            s_name AS supplier_name
     FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) pairs
     JOIN part ON pairs.l_partkey = p_partkey
@@ -63,7 +63,7 @@ def _line_values(spark: SparkSession, base: str, discount: str) -> DataFrame:
 def _sql_line_values(discount: str) -> str:
     return f"""
     SELECT l_orderkey AS order_id, l_partkey AS product_id,
-           CAST({S.money('p_retailprice')} * CAST(l_quantity AS INTEGER) AS DECIMAL(19,4)) AS line_value
+           CAST({S.money('p_retailprice')} * CAST(l_quantity AS INTEGER) AS DECIMAL(18,4)) AS line_value
     FROM lineitem JOIN part ON l_partkey = p_partkey
     WHERE {S.money('l_discount')} = {discount}"""
 
@@ -83,7 +83,7 @@ def q_line_value_b(spark: SparkSession, base: str) -> DataFrame:
 SQL_INTEGRAL = f"""
     SELECT l_partkey AS product_id, p_brand AS category, {S.money('l_quantity')} AS unit_price,
            {S.money('l_extendedprice')} AS line_total,
-           CAST({S.money('l_extendedprice')} / {S.money('l_quantity')} AS DECIMAL(19,4)) AS quantity
+           CAST({S.money('l_extendedprice')} / {S.money('l_quantity')} AS DECIMAL(18,4)) AS quantity
     FROM lineitem JOIN part ON l_partkey = p_partkey
     WHERE {S.money('l_extendedprice')} % {S.money('l_quantity')} = 0"""
 
@@ -185,8 +185,8 @@ def q_identity_orders(spark: SparkSession, base: str) -> DataFrame:
 
 SQL_MONEY_PARTS = f"""
     SELECT l_orderkey AS order_id, o_custkey AS client_id,
-           CAST(floor({S.money('l_extendedprice')}) AS DECIMAL(19,4)) AS whole_part,
-           CAST(({S.money('l_extendedprice')} - floor({S.money('l_extendedprice')})) * 100 AS DECIMAL(19,4)) AS cents_part
+           CAST(floor({S.money('l_extendedprice')}) AS DECIMAL(18,4)) AS whole_part,
+           CAST(({S.money('l_extendedprice')} - floor({S.money('l_extendedprice')})) * 100 AS DECIMAL(18,4)) AS cents_part
     FROM orders JOIN lineitem ON o_orderkey = l_orderkey"""
 
 
@@ -209,7 +209,7 @@ def q_money_parts(spark: SparkSession, base: str) -> DataFrame:
 
 SQL_ROUND_UP = f"""
     SELECT order_id, client_id, whole_part, cents_part,
-           CAST(whole_part + 1 AS DECIMAL(19,4)) AS new_price
+           CAST(whole_part + 1 AS DECIMAL(18,4)) AS new_price
     FROM ({SQL_MONEY_PARTS}) WHERE cents_part > 49"""
 
 
@@ -229,7 +229,7 @@ def q_ctas_round_up(spark: SparkSession, base: str) -> DataFrame:
 @check(
     "q_floor_price",
     f"""SELECT l_orderkey AS order_id, l_partkey AS product_id,
-               CAST(floor({S.money('p_retailprice')}) AS DECIMAL(19,4)) AS product_price,
+               CAST(floor({S.money('p_retailprice')}) AS DECIMAL(18,4)) AS product_price,
                CAST(l_quantity AS INTEGER) AS quantity, {S.money('l_discount')} AS discount
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
     ("PRJ-10", "MTH-3"),
@@ -340,11 +340,11 @@ def q_single_word(spark: SparkSession, base: str) -> DataFrame:
 @check(
     "q_star_filter",
     """SELECT c_name AS client_name, n_name AS city, p_name AS title,
-              CAST(l_extendedprice AS DECIMAL(19,4)) AS price, s_name AS publisher, o_orderpriority AS notes
+              CAST(l_extendedprice AS DECIMAL(18,4)) AS price, s_name AS publisher, o_orderpriority AS notes
        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
        JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
        JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
-       WHERE l_extendedprice IS NOT NULL AND CAST(l_extendedprice AS DECIMAL(19,4)) > 10000
+       WHERE l_extendedprice IS NOT NULL AND CAST(l_extendedprice AS DECIMAL(18,4)) > 10000
          AND s_name LIKE '%1%' AND n_name = 'NATION_7'""",
     ("JOIN-5", "FLT-2", "FLT-6", "FLT-7", "FLT-9"),
 )

@@ -29,7 +29,7 @@ def order_totals(spark: SparkSession, base: str) -> DataFrame:
 
 SQL_ORDER_TOTALS = """
     SELECT l_orderkey AS order_id,
-           CAST(SUM(CAST(l_extendedprice AS DECIMAL(19,4))) AS DECIMAL(38,4)) AS total
+           CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS total
     FROM lineitem GROUP BY l_orderkey"""
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def money(expr: str) -> str:
-    return f"CAST({expr} AS DECIMAL(19,4))"
+    return f"CAST({expr} AS DECIMAL(18,4))"
 
 
 def guid(*keys: str, salt: str) -> str:
