@@ -11,6 +11,17 @@ from relprep.functions.text import shuffle_key
 from relprep.operators.joins import bounded_broadcast
 
 
+def sort_report(df: DataFrame, *order: Column | str, unique: list[str]) -> DataFrame:
+    """ORDER BY for a report (SRT-1, SRT-2), with unique tie-breakers.
+
+    A global sort range-partitions on the sort key; if one value holds a
+    third of the rows, all of them land in one partition.  Appending
+    unique columns lets the range partitioner split equal values across
+    tasks and makes the order deterministic.
+    """
+    return df.orderBy(*order, *unique)
+
+
 def top_n(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
     """TOP(n) with an explicit order (SRT-4).
 

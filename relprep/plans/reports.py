@@ -12,7 +12,7 @@ from relprep.functions.text import tsql_len
 from relprep.operators.aggregates import above_average, count_by, int_avg, scalar, sum_by
 from relprep.operators.joins import lookup_key
 from relprep.operators.search import any_match_above_avg
-from relprep.operators.sorting import assign_top_n, keyed_shuffle, top_n
+from relprep.operators.sorting import assign_top_n, keyed_shuffle, sort_report, top_n
 from relprep.plans import sqlfrag as S
 from relprep.plans.common import order_lines
 from relprep.plans.registry import check
@@ -200,9 +200,8 @@ def q_having_count(spark: SparkSession, base: str) -> DataFrame:
     o = load(spark, base, "orders")
     c = load(spark, base, "customer")
     j = per_order.join(o, per_order.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-    return j.select(
-        F.col("o_orderkey").alias("order_id"), F.col("c_name").alias("client_name"), "n_products"
-    ).orderBy(F.desc("n_products"))
+    out = j.select(F.col("o_orderkey").alias("order_id"), F.col("c_name").alias("client_name"), "n_products")
+    return sort_report(out, F.desc("n_products"), unique=["order_id"])
 
 
 # ---- AGG-11 / AGG-10 / SRT-2: discount-aware sales per product --------------------
@@ -233,11 +232,10 @@ def q_sales_having(spark: SparkSession, base: str) -> DataFrame:
     j = per_part.join(p, per_part.product_id == p.p_partkey)
     sales = F.sum(M.money("p_retailprice") * F.col("units"))
     out = j.groupBy(F.col("p_name").alias("product_name")).agg(sales.alias("_sales"))
-    return (
-        out.filter(F.col("_sales") > SALES_THRESHOLD)
-        .select("product_name", M.round_money("_sales", 2, M.DecimalType(38, 2)).alias("total_sales"))
-        .orderBy(F.desc("total_sales"))
+    out = out.filter(F.col("_sales") > SALES_THRESHOLD).select(
+        "product_name", M.round_money("_sales", 2, M.DecimalType(38, 2)).alias("total_sales")
     )
+    return sort_report(out, F.desc("total_sales"), unique=["product_name"])
 
 
 # ---- AGG-14 / FLT-12: per client and product, sum of above-average prices --------
@@ -266,7 +264,7 @@ def client_product_sums(spark: SparkSession, base: str) -> DataFrame:
 
 @check("q_group_above_avg_price", SQL_CLIENT_PRODUCT + " ORDER BY price_sum", ("AGG-14", "AGG-8", "AGG-4", "SRT-2"))
 def q_group_above_avg_price(spark: SparkSession, base: str) -> DataFrame:
-    return client_product_sums(spark, base).orderBy("price_sum")
+    return sort_report(client_product_sums(spark, base), "price_sum", unique=["client_name", "product_name"])
 
 
 def _sql_above_avg_search(where: str) -> str:
@@ -282,7 +280,10 @@ def _sql_above_avg_search(where: str) -> str:
 )
 def q_optional_params_above_avg(spark: SparkSession, base: str) -> DataFrame:
     v = client_product_sums(spark, base)
-    return any_match_above_avg(v, {"client_name": "Customer#000000007", "product_name": None, "price_sum": None}, "price_sum")
+    return any_match_above_avg(
+        v, {"client_name": "Customer#000000007", "product_name": None, "price_sum": None}, "price_sum",
+        ["price_sum", "client_name", "product_name"],
+    )
 
 
 @check(
@@ -292,7 +293,10 @@ def q_optional_params_above_avg(spark: SparkSession, base: str) -> DataFrame:
 )
 def q_optional_params_above_avg_product(spark: SparkSession, base: str) -> DataFrame:
     v = client_product_sums(spark, base)
-    return any_match_above_avg(v, {"client_name": None, "product_name": "red plate", "price_sum": None}, "price_sum")
+    return any_match_above_avg(
+        v, {"client_name": None, "product_name": "red plate", "price_sum": None}, "price_sum",
+        ["price_sum", "client_name", "product_name"],
+    )
 
 
 # ---- AGG-12 / DAT-3: count of year-boundary differences under a bound -----------
