@@ -449,7 +449,7 @@ def q_delivery_window(spark: SparkSession, base: str) -> DataFrame:
                       WHEN days_to_ship BETWEEN 15 AND 21 THEN 'Treca'
                       WHEN days_to_ship BETWEEN 22 AND 28 THEN 'Cetvrta' END AS week
           FROM ({SQL_DELIVERY})) GROUP BY week""",
-    ("UPD-5", "FLT-4", "AGG-1", "PRM-4"),
+    ("UPD-5", "FLT-4", "AGG-1", "PRM-4", "SRC-3"),
 )
 def q_week_bucket(spark: SparkSession, base: str) -> DataFrame:
     v = delivery_view(spark, base).withColumn("week", week_bucket("days_to_ship"))

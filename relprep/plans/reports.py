@@ -53,7 +53,7 @@ def q_avg_of_sums(spark: SparkSession, base: str) -> DataFrame:
     SELECT order_id, total,
            CAST(total - (SELECT ROUND(AVG(total), 2) FROM s) AS DECIMAL(38,4)) AS gap
     FROM s WHERE total > (SELECT AVG(total) FROM s)""",
-    ("AGG-8", "AGG-9", "MTH-4"),
+    ("AGG-8", "AGG-9", "MTH-4", "SRC-3"),
 )
 def q_above_avg(spark: SparkSession, base: str) -> DataFrame:
     totals = order_totals(spark, base)
