@@ -85,14 +85,14 @@ def keyed_guid(*keys: Column | str, salt: str) -> Column:
     ``|`` after conversion to text; NULL keys are skipped.
     """
     parts = [_c(k).cast("string") for k in keys]
-    h = F.upper(F.md5(F.concat_ws("|", *parts, F.lit(salt))))
-    return F.concat(
-        F.substring(h, 1, 8), F.lit("-"),
-        F.substring(h, 9, 4), F.lit("-"),
-        F.substring(h, 13, 4), F.lit("-"),
-        F.substring(h, 17, 4), F.lit("-"),
-        F.substring(h, 21, 12),
-    )
+    guid = F.upper(F.md5(F.concat_ws("|", *parts, F.lit(salt))))
+    # Insert the four dashes back to front with zero-length overlays, so the
+    # hash appears once in the expression tree: subexpression elimination
+    # does not share work inside a CASE branch, and five substrings of the
+    # same md5 would hash five times.
+    for pos in (21, 17, 13, 9):
+        guid = F.overlay(guid, F.lit("-"), pos, 0)
+    return guid
 
 
 def keyed_token(*keys: Column | str, salt: str, length: int) -> Column:
