@@ -14,8 +14,14 @@ one task.  This operator numbers rows in parallel instead:
    broadcast join adds the offset back.
 
 Ordering is made total by appending every remaining column as a
-tie-breaker, so a recomputed partition (after executor loss) numbers its
-rows exactly as before.
+tie-breaker, so equal keys spread over several range partitions and a
+recomputed partition numbers its rows exactly as before.
+
+The numbered rows are written once with ``checkpoint()`` (to the shared
+folder in ``spark.checkpoint.dir``) before the counts are taken.  Both the
+counts and the final join then read the same files: the partition bounds
+are sampled once, whatever the optimizer decides about reusing exchanges,
+and the rows are sorted once.
 """
 
 from __future__ import annotations
@@ -23,6 +29,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from relprep.session import checkpoint_dir
+
 _POS_BITS = 33
 
 
@@ -44,6 +52,8 @@ def with_identity(
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("long"), _POS_BITS))
     )
+    checkpoint_dir(df.sparkSession)
+    ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: a single-task window over at most n rows.
     offsets = counts.select(

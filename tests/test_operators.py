@@ -206,3 +206,14 @@ def test_row_number_reference_equivalence(spark):
     ref = df.withColumn("rn", F.row_number().over(Window.orderBy("a", "b")))
     out = K.with_identity(df, ["a", "b"], "rn", num_partitions=7)
     assert sorted(map(tuple, ref.collect())) == sorted(map(tuple, out.select("a", "b", "rn").collect()))
+
+
+def test_with_identity_hot_key_third_of_rows(spark):
+    # One key value holds a third of all rows; tie-breakers spread it over
+    # range partitions and numbering stays dense and ordered.
+    rows_ = [(0, i) for i in range(1000)] + [(i, i) for i in range(1, 2001)]
+    df = spark.createDataFrame(rows_, "k long, payload long")
+    out = K.with_identity(df, ["k"], "id", num_partitions=8)
+    got = sorted((r.k, r.payload, r.id) for r in out.collect())
+    assert [g[2] for g in got] == list(range(1, 3001))
+    assert {g[2] for g in got if g[0] == 0} == set(range(1, 1001))
