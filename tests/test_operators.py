@@ -217,3 +217,21 @@ def test_with_identity_hot_key_third_of_rows(spark):
     got = sorted((r.k, r.payload, r.id) for r in out.collect())
     assert [g[2] for g in got] == list(range(1, 3001))
     assert {g[2] for g in got if g[0] == 0} == set(range(1, 1001))
+
+
+def test_mask_by_prefix_invariants(spark, smoke_dir):
+    # UPD-7: every value that started with 1 or 3 is replaced by a 25-char
+    # token; all other values are untouched; row count is preserved.
+    o = spark.read.parquet(f"{smoke_dir}/orders.parquet").select("o_orderkey", F.col("o_orderpriority").alias("v"))
+    out = U.mask_by_prefix(o, "v", ["1", "3"], "o_orderkey", "salt")
+    joined = o.alias("a").join(out.alias("b"), "o_orderkey")
+    hit = F.left(F.col("a.v"), F.lit(1)).isin("1", "3")
+    assert out.count() == o.count()
+    assert joined.filter(hit & ((F.length("b.v") != 25) | (F.col("a.v") == F.col("b.v")))).count() == 0
+    assert joined.filter(~hit & (F.col("a.v") != F.col("b.v"))).count() == 0
+
+
+def test_keyed_shuffle_preserves_multiset(spark, smoke_dir):
+    c = spark.read.parquet(f"{smoke_dir}/customer.parquet")
+    out = SO.keyed_shuffle(c, ["c_custkey"], "s").drop("shuffle_key")
+    assert sorted(map(tuple, out.collect())) == sorted(map(tuple, c.collect()))
