@@ -118,7 +118,7 @@ def q_len_histogram(spark: SparkSession, base: str) -> DataFrame:
 
 @check(
     "q_len_stats",
-    f"""SELECT MIN(n_urls) AS min_n, MAX(n_urls) AS max_n, SUM(n_urls) // COUNT(n_urls) AS avg_n
+    f"""SELECT MIN(n_urls) AS min_n, MAX(n_urls) AS max_n, CAST(SUM(n_urls) // COUNT(n_urls) AS BIGINT) AS avg_n
         FROM ({SQL_LEN_HIST})""",
     ("AGG-6", "AGG-7"),
 )

@@ -92,3 +92,16 @@ def test_scan_is_pruned_and_filter_pushed(spark, smoke_dir):
 def test_top_n_query_is_take_ordered(spark, smoke_dir):
     plan = QUERIES["q_top_n"](spark, smoke_dir)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+_TYPE_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE", "double": "DOUBLE",
+               "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_column_types_match_oracle(spark, smoke_dir, duck, name):
+    df = QUERIES[name](spark, smoke_dir)
+    spark_types = {f.name: _TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString().upper()) for f in df.schema}
+    rel = duck.sql(ORACLE[name])
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert spark_types == duck_types
