@@ -46,3 +46,28 @@ def procedure(view: DataFrame, columns: list[str], guard: Column | None = None):
         return any_match(view.select(*columns), params, guard)
 
     return run
+
+
+def sql_procedure(view: DataFrame, name: str, columns: list[str], guard_sql: str | None = None) -> str:
+    """Register the procedure as a temporary SQL table function (PRM-1, SQL form).
+
+    ``CREATE TEMPORARY FUNCTION name(p_<col> <type> DEFAULT NULL, ...)
+    RETURNS TABLE (...)`` over a temp view of ``view``; call it with named
+    arguments, e.g. ``SELECT * FROM name(p_category => 'Produce')``.  The
+    function body is inlined by the analyzer, unsupplied (NULL) parameters
+    fold away and the remaining predicate is pushed into the scan.
+    Returns the function name.
+    """
+    spark = view.sparkSession
+    view_name = f"{name}_source"
+    view.select(*columns).createOrReplaceTempView(view_name)
+    types = {f.name: f.dataType.simpleString() for f in view.schema}
+    params = ", ".join(f"p_{c} {types[c]} DEFAULT NULL" for c in columns)
+    returns = ", ".join(f"{c} {types[c]}" for c in columns)
+    match = " OR ".join(f"{c} = {name}.p_{c}" for c in columns)
+    where = f"({guard_sql}) AND ({match})" if guard_sql else match
+    spark.sql(
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS TABLE ({returns}) "
+        f"RETURN SELECT {', '.join(columns)} FROM {view_name} WHERE {where}"
+    )
+    return name

@@ -10,7 +10,7 @@ from relprep.functions import money as M
 from relprep.functions.predicates import like
 from relprep.functions.text import concat_strict, keyed_token, password_token
 from relprep.operators.joins import left_join_default, lookup_key
-from relprep.operators.search import any_match, procedure
+from relprep.operators.search import any_match, procedure, sql_procedure
 from relprep.operators.updates import (
     add_column,
     delete_where,
@@ -409,6 +409,17 @@ def q_optional_params_none(spark: SparkSession, base: str) -> DataFrame:
     return search()
 
 
+@check(
+    "q_optional_params_sql",
+    f"SELECT * FROM ({_SQL_LINES_VIEW}) WHERE category = '{SEARCH_CATEGORY}'",
+    ("FLT-10", "PRM-1", "PRM-2"),
+)
+def q_optional_params_sql(spark: SparkSession, base: str) -> DataFrame:
+    """The same procedure as a SQL table function called with a named argument."""
+    fn = sql_procedure(lines_view(spark, base), "proc_lines", _LINE_COLUMNS)
+    return spark.sql(f"SELECT * FROM {fn}(p_category => :category)", args={"category": SEARCH_CATEGORY})
+
+
 # ---- FLT-11 / FLT-9: guarded optional-parameter search -------------------------------
 # The guard character and the two arguments.
 GUARD_CHAR, SEARCH_LANG, SEARCH_SOURCE = "(", "fr", "src7"
