@@ -100,7 +100,8 @@ def load_order_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
         ),
         f"order_products_{tag}", f"{root}/order_products", ["order_id"], ORDER_BUCKETS,
     )
-    return {"products": spark.read.parquet(f"{root}/products"), "orders": orders, "order_products": order_products}
+    products = spark.read.schema(PRODUCT_LAYOUT).parquet(f"{root}/products")
+    return {"products": products, "orders": orders, "order_products": order_products}
 
 
 def delivery_weeks(spark: SparkSession, base: str) -> DataFrame:
@@ -164,7 +165,7 @@ def updated_card_orders(spark: SparkSession, base: str) -> DataFrame:
         ),
         f"{root}/orders", CARD_ORDER_LAYOUT,
     )
-    t = spark.read.parquet(f"{root}/orders")
+    t = spark.read.schema(CARD_ORDER_LAYOUT).parquet(f"{root}/orders")
     t = (
         t.transform(lambda df: fill_null(df, "order_no", keyed_token("order_id", salt=SALT_ORDER_NO, length=25)))
         .transform(lambda df: fill_from_key(df, "store_id", "order_id", [(["4", "5"], 3), (["6", "7"], 4)]))

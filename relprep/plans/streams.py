@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from relprep.operators.updates import fill_from_key, mask_by_prefix
 from relprep.plans.registry import CHECKS, check
 from relprep.plans.rules import SALT_MASK
+from relprep.sources.tables import load
 from relprep.streaming import run_to_table, table_stream
 
 
@@ -25,7 +26,7 @@ def q_mask_by_prefix_stream(spark: SparkSession, base: str) -> DataFrame:
 @check("q_fill_from_key_stream", CHECKS["q_fill_from_key"].sql, ("UPD-6", "STR-3", "JOIN-1"))
 def q_fill_from_key_stream(spark: SparkSession, base: str) -> DataFrame:
     """Stream-static join (orders stream x customer table) then the fill rule."""
-    customer = spark.read.parquet(f"{base.rstrip('/')}/customer.parquet")
+    customer = load(spark, base, "customer")
 
     def steps(df: DataFrame) -> DataFrame:
         j = df.join(customer, df.o_custkey == customer.c_custkey)

@@ -57,7 +57,8 @@ def append_positional(df: DataFrame, path: str, layout: StructType) -> None:
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """SELECT ... INTO new_table (SNK-3): fails if the table exists, returns the re-read table."""
     df.write.mode("errorifexists").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The schema is known: supplying it skips the footer-reading inference job.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stage(df: DataFrame, name: str, deterministic: bool = True) -> DataFrame:

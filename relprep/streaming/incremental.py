@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from relprep.session import scratch_path
-from relprep.sources.tables import table_path
+from relprep.sources.tables import load
 
 
 def table_stream(spark: SparkSession, base: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -31,7 +31,7 @@ def table_stream(spark: SparkSession, base: str, name: str, max_files_per_trigge
     The schema is taken from the current files (metadata only) and fixed
     for the stream, as file streams require.
     """
-    schema = spark.read.parquet(table_path(base, name)).schema
+    schema = load(spark, base, name).schema
     reader = spark.readStream.schema(schema).option("basePath", base)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
