@@ -27,7 +27,7 @@ DRIVER_TABLES = (
 
 
 def table_path(base: str, name: str) -> str:
-    return f"{base.rstrip('/')}/{name}.parquet"
+    return f"{str(base).rstrip('/')}/{name}.parquet"
 
 
 # Schemas of tables already read in this process, by path.  Without a

@@ -31,6 +31,7 @@ def table_stream(spark: SparkSession, base: str, name: str, max_files_per_trigge
     The schema is taken from the current files (metadata only) and fixed
     for the stream, as file streams require.
     """
+    base = str(base)
     schema = load(spark, base, name).schema
     reader = spark.readStream.schema(schema).option("basePath", base)
     if max_files_per_trigger:
