@@ -22,7 +22,14 @@ from relprep.operators.updates import add_column, fill_from_key, fill_null, trim
 from relprep.plans import sqlfrag as S
 from relprep.plans.registry import check
 from relprep.session import scratch_path
-from relprep.sources.sinks import append, append_positional, materialize, materialize_bucketed, with_defaults
+from relprep.sources.sinks import (
+    append,
+    append_positional,
+    co_locatable,
+    materialize,
+    materialize_bucketed,
+    with_defaults,
+)
 from relprep.sources.tables import load
 
 # ---- Flow A: products, orders, order lines -> delivery view -> week report -----
@@ -66,7 +73,9 @@ def load_order_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
 
     ``orders`` and ``order_products`` are written bucketed on ``order_id``
     with the same bucket count, so the view's join on ``order_id`` reads
-    co-located buckets instead of shuffling both tables.
+    co-located buckets instead of shuffling both tables -- unless one order
+    holds more than a bucket's fair share of the lines (see
+    ``sinks.co_locatable``).
     """
     root = scratch_path(spark, "orders-db")
     tag = root.rsplit("-", 1)[-1][:12]
@@ -89,17 +98,22 @@ def load_order_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
         # client_name is omitted from the insert and takes its default
         {"client_name": "unknown"},
     )
-    orders = materialize_bucketed(loaded, f"orders_{tag}", f"{root}/orders", ["order_id"], ORDER_BUCKETS)
     li = load(spark, base, "lineitem")
     lines = li.filter(M.money("l_discount") == F.lit(LOADED_DISCOUNT).cast(M.MONEY))
-    lines = lines.join(p, lines.l_partkey == p.p_partkey)
-    order_products = materialize_bucketed(
-        lines.select(
-            F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
-            M.line_value("p_retailprice", "l_quantity").alias("line_value"),
-        ),
-        f"order_products_{tag}", f"{root}/order_products", ["order_id"], ORDER_BUCKETS,
+    lines = lines.join(p, lines.l_partkey == p.p_partkey).select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
+        M.line_value("p_retailprice", "l_quantity").alias("line_value"),
     )
+    if co_locatable(lines, ["order_id"], ORDER_BUCKETS):
+        orders = materialize_bucketed(loaded, f"orders_{tag}", f"{root}/orders", ["order_id"], ORDER_BUCKETS)
+        order_products = materialize_bucketed(
+            lines, f"order_products_{tag}", f"{root}/order_products", ["order_id"], ORDER_BUCKETS
+        )
+    else:
+        # A hot order would pin one bucket to one task: plain tables, shuffled
+        # join, and adaptive skew handling splits the hot key.
+        orders = materialize(loaded, f"{root}/orders")
+        order_products = materialize(lines, f"{root}/order_products")
     products = spark.read.schema(PRODUCT_LAYOUT).parquet(f"{root}/products")
     return {"products": products, "orders": orders, "order_products": order_products}
 

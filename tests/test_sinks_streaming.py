@@ -94,3 +94,11 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_co_locatable_detects_hot_key(spark):
+    even = spark.range(4000).select((F.col("id") % 1000).alias("k"))
+    hot = spark.range(3000).select(F.when(F.col("id") < 1000, F.lit(0)).otherwise(F.col("id")).alias("k"))
+    assert sinks.hottest_key_share(even, ["k"]) == 4 / 4000
+    assert abs(sinks.hottest_key_share(hot, ["k"]) - 1000 / 3000) < 1e-9
+    assert sinks.co_locatable(even, ["k"], 8) and not sinks.co_locatable(hot, ["k"], 8)
