@@ -50,8 +50,8 @@ def assign_top_n(
     """
     first_c = first if isinstance(first, Column) else F.lit(first)
     rest_c = rest if isinstance(rest, Column) else F.lit(rest)
-    hits = top_n(df.select(key, *[o for o in order if isinstance(o, str) and o != key]), n, *order)
-    hits = hits.select(key).withColumn("_top_hit", F.lit(True))
+    # Column pruning reduces the top-n to the key and order columns.
+    hits = top_n(df, n, *order).select(key).withColumn("_top_hit", F.lit(True))
     joined = df.join(bounded_broadcast(hits, n), key, "left")
     current = F.col(column) if column in df.columns else F.lit(None)
     updated = F.when(F.col("_top_hit"), first_c).otherwise(F.coalesce(current, rest_c))
