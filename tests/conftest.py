@@ -13,7 +13,8 @@ SMOKE = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", 8, app_name="relprep-tests")
+    # local[*,4]: up to 4 attempts per task, so retry behaviour can be tested.
+    s = build_session("local[*,4]", 8, app_name="relprep-tests")
     yield s
     s.stop()
 
