@@ -15,9 +15,11 @@ from relprep.operators.quality import (
     unique_violations,
 )
 from relprep.plans import sqlfrag as S
-from relprep.plans.common import orders_target
+from relprep.plans.common import catalog, orders_target
+from relprep.plans.loads import DEFAULT_NOTES
 from relprep.plans.registry import check
-from relprep.sources.tables import ORDERS_LENGTHS, load
+from relprep.sources.sinks import with_defaults
+from relprep.sources.tables import CATALOG_LENGTHS, ORDERS_LENGTHS, PUBLISHER_LAYOUT, PUBLISHER_LENGTHS, load
 
 
 @check(
@@ -74,27 +76,51 @@ def q_dq_unique(spark: SparkSession, base: str) -> DataFrame:
     return unique_violations(load(spark, base, "part"), "p_name")
 
 
-_PROFILE_COLS = list(ORDERS_LENGTHS)
-
-
-def _sql_profile() -> str:
+def _sql_profile(lengths: dict[str, int], source: str) -> str:
     parts = []
-    for c, n in ORDERS_LENGTHS.items():
+    for c, n in lengths.items():
         parts.append(
             f"""SELECT '{c}' AS "column", CAST(MAX({S.tsql_len(c)}) AS BIGINT) AS max_len,
                    COUNT(*) FILTER (WHERE {c} IS NULL) AS n_null,
                    COUNT(*) FILTER (WHERE {S.tsql_len(c)} > {n}) AS n_too_long
-                FROM (SELECT c_name AS client_name, c_mktsegment AS client_segment
-                      FROM customer JOIN orders ON c_custkey = o_custkey)"""
+                FROM ({source})"""
         )
     return " UNION ALL ".join(parts)
 
 
-@check("q_dq_profile", _sql_profile(), ("DQ-5", "DQ-6"))
+_ORDERS_SOURCE = """SELECT c_name AS client_name, c_mktsegment AS client_segment
+                    FROM customer JOIN orders ON c_custkey = o_custkey"""
+
+
+@check("q_dq_profile", _sql_profile(ORDERS_LENGTHS, _ORDERS_SOURCE), ("DQ-5", "DQ-6"))
 def q_dq_profile(spark: SparkSession, base: str) -> DataFrame:
     return profile(orders_target(spark, base), ORDERS_LENGTHS)
 
 
+_PUBLISHER_SOURCE = f"""SELECT CAST(c_custkey AS VARCHAR) AS publisher_id, c_name AS name,
+                              '{DEFAULT_NOTES}' AS notes FROM customer"""
+
+
+@check("q_dq_publisher_profile", _sql_profile(PUBLISHER_LENGTHS, _PUBLISHER_SOURCE), ("DQ-5", "DQ-6", "PRJ-7"))
+def q_dq_publisher_profile(spark: SparkSession, base: str) -> DataFrame:
+    """NVARCHAR limits of the publishers layout after the defaulted insert:
+    numeric keys longer than 4 characters would not fit publisher_id."""
+    c = load(spark, base, "customer")
+    src = c.select(F.col("c_custkey").cast("string").alias("publisher_id"), F.col("c_name").alias("name"))
+    loaded = with_defaults(src, PUBLISHER_LAYOUT, {"notes": DEFAULT_NOTES, "created": F.current_date()})
+    return profile(loaded, PUBLISHER_LENGTHS)
+
+
+_CATALOG_SOURCE = """SELECT p_type AS unit, p_brand AS category, s_name AS supplier_name
+                     FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) pairs
+                     JOIN part ON pairs.l_partkey = p_partkey JOIN supplier ON pairs.l_suppkey = s_suppkey"""
+
+
+@check("q_dq_catalog_profile", _sql_profile(CATALOG_LENGTHS, _CATALOG_SOURCE), ("DQ-5", "DQ-6", "JOIN-8"))
+def q_dq_catalog_profile(spark: SparkSession, base: str) -> DataFrame:
+    return profile(catalog(spark, base), CATALOG_LENGTHS)
+
+
 @check(
     "q_dq_length",
     f"""SELECT c_custkey, c_name FROM customer WHERE {S.tsql_len('c_name')} > 15""",
