@@ -38,7 +38,10 @@ def main() -> None:
 
     print("# Physical plans of the check queries\n")
     print(f"Final adaptive plans at `{sf_dir}` (local[8], 8 shuffle partitions), generated by `tools/plans.py`.")
-    print("Counts: `Exchange` = shuffle (or reused), `BroadcastExchange` = broadcast side, `Scan` = table reads.\n")
+    print("Counts: `Exchange` = shuffle (or reused), `BroadcastExchange` = broadcast side, `Scan` = table reads.")
+    print("At this size AQE measures every dimension under the broadcast threshold and broadcasts it; at")
+    print("100 TB the same logical plans become shuffled sort-merge joins with skew splitting, except for")
+    print("sides whose size is bounded (nation, region, top-n keys, per-partition offsets).\n")
     for name, fn in E.queries().items():
         df = fn(spark, sf_dir)
         df.collect()
