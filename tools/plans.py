@@ -58,8 +58,25 @@ def main() -> None:
             f"scalar subqueries: {n_sub} (exchanges reused from the main plan: {sub_reuse})\n"
         )
         print("```\n" + tree.rstrip() + "\n```\n")
+        keys = cluster_shape_shuffles(spark, fn, sf_dir)
+        print("Cluster shape (no broadcast, static plan) shuffles on: " + (", ".join(f"`{k}`" for k in keys) or "none") + "\n")
     spark.stop()
 
 
+def cluster_shape_shuffles(spark, fn, sf_dir) -> list[str]:
+    """Hash-partitioning keys of the plan when no side may be broadcast:
+    the shuffles a 100 TB run would do (nation/region aside)."""
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    keys = re.findall(r"Exchange hashpartitioning\((.+?), \d+\)", plan)
+    return ["(" + re.sub(r"#\d+L?", "", k) + ")" for k in keys]
+
+
 if __name__ == "__main__":
     main()
