@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from relprep.functions import money as M
 from relprep.functions.predicates import like
-from relprep.functions.text import concat_strict, keyed_token, password_token
+from relprep.functions.text import concat_strict, date_text, keyed_token, password_token, tsql_len
 from relprep.operators.joins import left_join_default, lookup_key
+from relprep.operators.quality import check_violations
 from relprep.operators.search import any_match, procedure, sql_procedure
 from relprep.operators.updates import (
     add_column,
@@ -23,10 +24,12 @@ from relprep.operators.updates import (
     shorten_code,
     supplier_web,
     trim_prefix,
+    update,
 )
 from relprep.plans import sqlfrag as S
 from relprep.plans.common import catalog, postcode
 from relprep.plans.registry import check
+from relprep.operators.sorting import sort_report
 from relprep.sources.sinks import stage
 from relprep.sources.tables import load
 
@@ -437,3 +440,81 @@ def q_optional_params_guarded(spark: SparkSession, base: str) -> DataFrame:
     return any_match(d, {"doc_id": None, "lang": SEARCH_LANG, "source": SEARCH_SOURCE}, guard).select(
         "doc_id", "lang", "source", "n_chars"
     )
+
+
+# ---- UPD-11 / UPD-7 (suffix form) / FLT-15 / AGG-10: employee codes ---------------
+# Employee -> client, employee city -> the client's nation, hire date -> order date.
+# The city suffix whose codes are replaced, and the token salts.
+CODE_CITY_SUFFIX = "7"
+SALT_EMPLOYEE_CODE = "employee-code"
+SALT_EMPLOYEE_SHORT = "employee-short"
+
+_SQL_EMPLOYEE_CODES = f"""
+    SELECT order_id, employee,
+           CASE WHEN city LIKE '%{CODE_CITY_SUFFIX}' THEN {S.token('order_id', salt=SALT_EMPLOYEE_CODE, length=20)}
+                ELSE code END AS code
+    FROM (SELECT o_orderkey AS order_id, c_name AS employee, n_name AS city,
+                 reverse(n_name || ' ' || left(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), 10)) AS code
+          FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)"""
+
+
+def employee_codes(spark: SparkSession, base: str) -> DataFrame:
+    """Code = REVERSE(city + ' ' + LEFT(hire date, 10)); codes of cities ending
+    in the suffix are then replaced by a 20-character token (UPD-11, UPD-7)."""
+    o = load(spark, base, "orders")
+    c = load(spark, base, "customer")
+    n = load(spark, base, "nation")
+    j = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
+    coded = j.select(
+        F.col("o_orderkey").alias("order_id"), F.col("c_name").alias("employee"), F.col("n_name").alias("city"),
+        F.reverse(concat_strict(F.col("n_name"), " ", F.left(date_text("o_orderdate"), F.lit(10)))).alias("code"),
+    )
+    masked = update(coded, like("city", f"%{CODE_CITY_SUFFIX}"),
+                    {"code": keyed_token("order_id", salt=SALT_EMPLOYEE_CODE, length=20)})
+    return masked.drop("city")
+
+
+@check("q_employee_code", _SQL_EMPLOYEE_CODES, ("UPD-11", "UPD-7", "STR-9", "STR-14", "FLT-7"))
+def q_employee_code(spark: SparkSession, base: str) -> DataFrame:
+    return employee_codes(spark, base)
+
+
+@check(
+    "q_employee_code_counts",
+    f"""SELECT employee, code, COUNT(p_name) AS n_products
+        FROM ({_SQL_EMPLOYEE_CODES}) e JOIN lineitem ON e.order_id = l_orderkey JOIN part ON l_partkey = p_partkey
+        WHERE {S.tsql_len('code')} = 20
+        GROUP BY employee, code HAVING COUNT(p_name) > 2 ORDER BY n_products DESC""",
+    ("AGG-10", "FLT-15", "SRT-2", "JOIN-3"),
+)
+def q_employee_code_counts(spark: SparkSession, base: str) -> DataFrame:
+    """Per employee and 20-character code, the number of products ordered (> 2)."""
+    codes = employee_codes(spark, base).filter(tsql_len("code") == 20)
+    li = load(spark, base, "lineitem")
+    p = load(spark, base, "part")
+    per_order = li.join(p, li.l_partkey == p.p_partkey).groupBy("l_orderkey").agg(F.count("p_name").alias("_n"))
+    j = codes.join(per_order, codes.order_id == per_order.l_orderkey)
+    out = j.groupBy("employee", "code").agg(F.sum("_n").alias("n_products")).filter(F.col("n_products") > 2)
+    return sort_report(out, F.desc("n_products"), unique=["employee", "code"])
+
+
+@check(
+    "q_employee_code_short",
+    f"""SELECT order_id, employee,
+               CASE WHEN {S.tsql_len('code')} = 20 THEN {S.token('order_id', salt=SALT_EMPLOYEE_SHORT, length=4)}
+                    ELSE code END AS code
+        FROM ({_SQL_EMPLOYEE_CODES})""",
+    ("UPD-11", "STR-6"),
+)
+def q_employee_code_short(spark: SparkSession, base: str) -> DataFrame:
+    return shorten_code(employee_codes(spark, base), "code", ["order_id"], SALT_EMPLOYEE_SHORT)
+
+
+@check(
+    "q_dq_employee_code_check",
+    f"""SELECT employee, code FROM ({_SQL_EMPLOYEE_CODES}) WHERE NOT ({S.tsql_len('code')} = 15)""",
+    ("DQ-7", "UPD-11"),
+)
+def q_dq_employee_code_check(spark: SparkSession, base: str) -> DataFrame:
+    """CHECK (LEN(code) = 15) on the employee codes: the violating rows (NULL passes)."""
+    return check_violations(employee_codes(spark, base), tsql_len("code") == 15).select("employee", "code")
