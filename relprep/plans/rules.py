@@ -69,19 +69,29 @@ def q_random_token(spark: SparkSession, base: str) -> DataFrame:
 CARD_ORDER_VALUE = 400_000
 
 
+_SQL_CARDS = "(SELECT l_orderkey, CAST(max(l_shipdate) AS DATE) AS card_date FROM lineitem GROUP BY l_orderkey)"
+
+
 def contact_sheet(spark: SparkSession, base: str) -> DataFrame:
     c = load(spark, base, "customer")
     n = load(spark, base, "nation")
     o = load(spark, base, "orders").filter(F.col("o_totalprice") > CARD_ORDER_VALUE)
+    # The "card" behind the optional link: one row per order (last ship date).
+    cards = load(spark, base, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").cast("date").alias("card_date"))
     first = F.substring_index("c_name", "#", 1)
     last = F.substring_index("c_name", "#", -1)
-    j = c.join(n, c.c_nationkey == n.n_nationkey).join(o, c.c_custkey == o.o_custkey, "left")
+    j = (
+        c.join(n, c.c_nationkey == n.n_nationkey)
+        .join(o, c.c_custkey == o.o_custkey, "left")
+        .join(cards, o.o_orderkey == cards.l_orderkey, "left")
+    )
     return j.select(
         F.coalesce(F.col("o_orderstatus"), F.lit("N/A")).alias("title"),
         last.alias("last_name"),
         first.alias("first_name"),
         F.col("n_name").alias("nation"),
         F.col("o_orderkey").alias("card_number"),
+        F.col("card_date"),
         concat_strict(first, ".", last).alias("username"),
         password_token("c_custkey", salt=SALT_PASSWORD).alias("password"),
     ).sortWithinPartitions("last_name", "first_name")
@@ -91,10 +101,12 @@ def contact_sheet(spark: SparkSession, base: str) -> DataFrame:
     "q_contact_sheet",
     f"""SELECT COALESCE(o.o_orderstatus, 'N/A') AS title, split_part(c_name, '#', 2) AS last_name,
                split_part(c_name, '#', 1) AS first_name, n_name AS nation, o.o_orderkey AS card_number,
+               card_date,
                split_part(c_name, '#', 1) || '.' || split_part(c_name, '#', 2) AS username,
                {S.password('c_custkey', salt=SALT_PASSWORD)} AS password
         FROM customer JOIN nation ON c_nationkey = n_nationkey
-        LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > {CARD_ORDER_VALUE}) o ON c_custkey = o.o_custkey""",
+        LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > {CARD_ORDER_VALUE}) o ON c_custkey = o.o_custkey
+        LEFT JOIN {_SQL_CARDS} cards ON o.o_orderkey = cards.l_orderkey""",
     ("JOIN-6", "STR-15", "SNK-4", "SRT-1", "STR-7", "STR-8"),
 )
 def q_contact_sheet(spark: SparkSession, base: str) -> DataFrame:
@@ -106,10 +118,12 @@ def q_contact_sheet(spark: SparkSession, base: str) -> DataFrame:
     f"""SELECT * FROM (
           SELECT COALESCE(o.o_orderstatus, 'N/A') AS title, split_part(c_name, '#', 2) AS last_name,
                  split_part(c_name, '#', 1) AS first_name, n_name AS nation, o.o_orderkey AS card_number,
+                 card_date,
                  split_part(c_name, '#', 1) || '.' || split_part(c_name, '#', 2) AS username,
                  {S.password('c_custkey', salt=SALT_PASSWORD)} AS password
           FROM customer JOIN nation ON c_nationkey = n_nationkey
-          LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > {CARD_ORDER_VALUE}) o ON c_custkey = o.o_custkey)
+          LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > {CARD_ORDER_VALUE}) o ON c_custkey = o.o_custkey
+          LEFT JOIN {_SQL_CARDS} cards ON o.o_orderkey = cards.l_orderkey)
         WHERE last_name LIKE '%5%' AND first_name NOT LIKE 'B%' AND username NOT LIKE 'A%'""",
     ("FLT-7", "FLT-9", "SNK-4"),
 )
