@@ -479,3 +479,36 @@ def q_years_since(spark: SparkSession, base: str) -> DataFrame:
         F.col("o_orderkey").alias("order_id"), F.col("o_orderdate").cast("date").alias("order_date"),
         completed_years("o_orderdate", ASOF).alias("years_since"),
     )
+
+
+# ---- JOIN-4 (shared key): four inputs joined on the client key -----------------
+
+
+@check(
+    "q_shared_key_join",
+    """SELECT c_custkey, c_name, o_orderkey, n_orders, n_lines
+       FROM customer JOIN orders ON o_custkey = c_custkey
+       JOIN (SELECT o_custkey AS k1, COUNT(*) AS n_orders FROM orders GROUP BY o_custkey) a ON a.k1 = c_custkey
+       JOIN (SELECT o_custkey AS k2, COUNT(*) AS n_lines
+             FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey) b ON b.k2 = c_custkey""",
+    ("JOIN-4", "AGG-4"),
+)
+def q_shared_key_join(spark: SparkSession, base: str) -> DataFrame:
+    """Client, its orders, and two per-client aggregates, all joined on the
+    client key: every input is partitioned by that key once and the three
+    joins reuse the same partitioning (no re-shuffle between joins)."""
+    c = load(spark, base, "customer").select("c_custkey", "c_name")
+    o = load(spark, base, "orders")
+    li = load(spark, base, "lineitem")
+    orders_per = o.groupBy(F.col("o_custkey").alias("k1")).agg(F.count(F.lit(1)).alias("n_orders"))
+    lines_per = (
+        o.join(li, o.o_orderkey == li.l_orderkey)
+        .groupBy(F.col("o_custkey").alias("k2"))
+        .agg(F.count(F.lit(1)).alias("n_lines"))
+    )
+    j = (
+        c.join(o.select("o_custkey", "o_orderkey"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(orders_per, F.col("k1") == F.col("c_custkey"))
+        .join(lines_per, F.col("k2") == F.col("c_custkey"))
+    )
+    return j.select("c_custkey", "c_name", "o_orderkey", "n_orders", "n_lines")
