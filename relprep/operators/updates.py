@@ -90,15 +90,18 @@ def week_bucket(days: Column | str) -> Column:
     return expr
 
 
-def evidence_number(df: DataFrame, column: str, shipped: str, ordered: str, key: str, salt: str, sep: str = "-") -> DataFrame:
+def evidence_number(df: DataFrame, column: str, shipped: str, ordered: str, key: str, salt: str,
+                    sep: str = "-", ship_first: bool = True) -> DataFrame:
     """Evidence number (UPD-3): a 30-character token when not shipped,
-    else ``ship date <sep> order date``."""
+    else ``ship date <sep> order date`` (the script's rule).  The task
+    sheet's rule, ``order date _ ship date``, is ``sep="_", ship_first=False``."""
+    first, second = (shipped, ordered) if ship_first else (ordered, shipped)
     return update_cases(
         df,
         column,
         [
             (F.col(shipped).isNull(), keyed_token(key, salt=salt, length=30)),
-            (F.col(shipped).isNotNull(), concat_strict(date_text(shipped), sep, date_text(ordered))),
+            (F.col(shipped).isNotNull(), concat_strict(date_text(first), sep, date_text(second))),
         ],
     )
 

@@ -235,3 +235,16 @@ def test_keyed_shuffle_preserves_multiset(spark, smoke_dir):
     c = spark.read.parquet(f"{smoke_dir}/customer.parquet")
     out = SO.keyed_shuffle(c, ["c_custkey"], "s").drop("shuffle_key")
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, c.collect()))
+
+
+def test_evidence_number_script_and_sheet_rules(spark):
+    import datetime as dt
+
+    df = spark.createDataFrame(
+        [(1, dt.date(2020, 1, 2), dt.date(2020, 1, 9)), (2, dt.date(2020, 3, 1), None)],
+        "k long, ordered date, shipped date",
+    )
+    script = {r.k: r.ev for r in U.evidence_number(df, "ev", "shipped", "ordered", "k", "s").collect()}
+    sheet = {r.k: r.ev for r in U.evidence_number(df, "ev", "shipped", "ordered", "k", "s", sep="_", ship_first=False).collect()}
+    assert script[1] == "2020-01-09-2020-01-02" and sheet[1] == "2020-01-02_2020-01-09"
+    assert len(script[2]) == 30 and script[2] == sheet[2]
