@@ -13,6 +13,7 @@ from relprep.functions.predicates import is_single_word, like, not_like, starts_
 from relprep.functions.text import concat_strict, nvarchar, tsql_substring
 from relprep.operators.aggregates import count_by
 from relprep.operators.keys import with_identity
+from relprep.operators.search import procedure
 from relprep.operators.updates import add_column, week_bucket
 from relprep.plans import sqlfrag as S
 from relprep.plans.common import catalog, order_lines, orders_target, postcode
@@ -512,3 +513,29 @@ def q_shared_key_join(spark: SparkSession, base: str) -> DataFrame:
         .join(lines_per, F.col("k2") == F.col("c_custkey"))
     )
     return j.select("c_custkey", "c_name", "o_orderkey", "n_orders", "n_lines")
+
+
+@check(
+    "q_count_integral_by_category",
+    f"SELECT category, COUNT(category) AS n_lines FROM ({SQL_INTEGRAL}) GROUP BY category",
+    ("AGG-1", "PRM-3", "PRM-4"),
+)
+def q_count_integral_by_category(spark: SparkSession, base: str) -> DataFrame:
+    """Zero-argument report over the integral-quantity view: COUNT(category) per category."""
+    return count_by(integral_view(spark, base), ["category"], "category", "n_lines")
+
+
+# The arguments of the two procedure calls over the rounded prices.
+ROUND_UP_ORDER, ROUND_UP_CLIENT = 10730, 1234
+
+
+@check(
+    "q_optional_params_round_up",
+    f"""SELECT order_id, client_id, whole_part, cents_part, new_price FROM ({SQL_ROUND_UP})
+        WHERE order_id = {ROUND_UP_ORDER} OR client_id = {ROUND_UP_CLIENT}""",
+    ("FLT-10", "PRM-1", "PRM-2", "PRJ-9"),
+)
+def q_optional_params_round_up(spark: SparkSession, base: str) -> DataFrame:
+    """The procedure over the rounded-price table, called with an order and a client."""
+    proc = procedure(round_up_view(spark, base), ["order_id", "client_id", "whole_part", "cents_part", "new_price"])
+    return proc(order_id=ROUND_UP_ORDER, client_id=ROUND_UP_CLIENT)

@@ -532,3 +532,25 @@ def q_employee_code_short(spark: SparkSession, base: str) -> DataFrame:
 def q_dq_employee_code_check(spark: SparkSession, base: str) -> DataFrame:
     """CHECK (LEN(code) = 15) on the employee codes: the violating rows (NULL passes)."""
     return check_violations(employee_codes(spark, base), tsql_len("code") == 15).select("employee", "code")
+
+
+# ---- DEL-1 on the staged contact sheet: people without a card are deleted -----------
+
+
+@check(
+    "q_contact_sheet_with_cards",
+    f"""SELECT * FROM (
+          SELECT COALESCE(o.o_orderstatus, 'N/A') AS title, split_part(c_name, '#', 2) AS last_name,
+                 split_part(c_name, '#', 1) AS first_name, n_name AS nation, o.o_orderkey AS card_number,
+                 card_date,
+                 split_part(c_name, '#', 1) || '.' || split_part(c_name, '#', 2) AS username,
+                 {S.password('c_custkey', salt=SALT_PASSWORD)} AS password
+          FROM customer JOIN nation ON c_nationkey = n_nationkey
+          LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > {CARD_ORDER_VALUE}) o ON c_custkey = o.o_custkey
+          LEFT JOIN {_SQL_CARDS} cards ON o.o_orderkey = cards.l_orderkey)
+        WHERE NOT (card_number IS NULL)""",
+    ("DEL-1", "FLT-6", "SNK-4", "JOIN-6"),
+)
+def q_contact_sheet_with_cards(spark: SparkSession, base: str) -> DataFrame:
+    sheet = stage(contact_sheet(spark, base), "contact_sheet")
+    return delete_where(sheet, F.col("card_number").isNull())
