@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from relprep.functions import money as M
 from relprep.functions.predicates import like
-from relprep.functions.text import concat_strict, date_text, keyed_token, password_token, tsql_len
+from relprep.functions.text import concat_strict, date_text, keyed_token, password_token, right, tsql_len, tsql_substring
 from relprep.operators.joins import left_join_default, lookup_key
 from relprep.operators.quality import check_violations
 from relprep.operators.search import any_match, procedure, sql_procedure
@@ -554,3 +554,42 @@ def q_dq_employee_code_check(spark: SparkSession, base: str) -> DataFrame:
 def q_contact_sheet_with_cards(spark: SparkSession, base: str) -> DataFrame:
     sheet = stage(contact_sheet(spark, base), "contact_sheet")
     return delete_where(sheet, F.col("card_number").isNull())
+
+
+# ---- STR-3 / STR-4 / STR-6: card and mail view ------------------------------------
+# Person -> client; card -> the client's orders above the card value (card number:
+# the order key as 14 digits); mail password -> base64 of sha-256 of the name
+# (44 characters, like a stored password hash); phone -> built from nation and key.
+
+
+def card_mail_view(spark: SparkSession, base: str) -> DataFrame:
+    c = load(spark, base, "customer")
+    o = load(spark, base, "orders").filter(F.col("o_totalprice") > CARD_ORDER_VALUE)
+    j = c.join(o, c.c_custkey == o.o_custkey)
+    card = F.lpad(F.col("o_orderkey").cast("string"), 14, "0")
+    mail_password = F.base64(F.unhex(F.sha2(F.col("c_name"), 256)))
+    phone = concat_strict("1 (", F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), ") 500 555-",
+                          F.lpad(right("c_custkey", 4), 4, "0"))
+    return j.select(
+        F.col("c_custkey").alias("person_id"),
+        right(card, 11).alias("new_card_number"),
+        tsql_substring(mail_password, 10, 34).alias("new_mail_password"),
+        phone.alias("phone"),
+        tsql_len(phone).alias("phone_length"),
+    )
+
+
+@check(
+    "q_card_mail_view",
+    f"""SELECT c_custkey AS person_id,
+               right(lpad(CAST(o_orderkey AS VARCHAR), 14, '0'), 11) AS new_card_number,
+               substr(to_base64(unhex(sha256(c_name))), 10, 34) AS new_mail_password,
+               phone, {S.tsql_len('phone')} AS phone_length
+        FROM (SELECT *, '1 (' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || ') 500 555-'
+                        || lpad(right(CAST(c_custkey AS VARCHAR), 4), 4, '0') AS phone FROM customer) c
+        JOIN orders ON c_custkey = o_custkey
+        WHERE o_totalprice > {CARD_ORDER_VALUE}""",
+    ("STR-3", "STR-4", "STR-6", "JOIN-1"),
+)
+def q_card_mail_view(spark: SparkSession, base: str) -> DataFrame:
+    return card_mail_view(spark, base)
