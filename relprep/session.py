@@ -82,7 +82,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     a cluster without a configured shared folder is an error, because a
     machine-local path would not survive executor loss.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect clients have no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir is not set on the server session") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
