@@ -156,3 +156,18 @@ def test_any_equal_empty_is_false(spark):
     df = spark.createDataFrame([(1, "a")], "id int, c string")
     assert df.filter(P.any_equal({"id": None, "c": None})).count() == 0
     assert df.filter(P.any_equal({"id": 2, "c": "a"})).count() == 1
+
+
+def test_integral_quotient_edges(spark):
+    from decimal import Decimal as Dm
+
+    rows = [
+        (Dm("-12.3000"), Dm("4.1000")),        # -3 exactly
+        (Dm("99999999999999.9999"), Dm("0.0001")),  # largest money, smallest divisor
+        (Dm("10.0001"), Dm("5.0000")),         # not integral by 1/10000
+        (Dm("7.5000"), Dm("-2.5000")),         # -3 exactly
+    ]
+    df = spark.createDataFrame(rows, "n decimal(18,4), d decimal(18,4)")
+    got = [r[0] for r in df.select(M.is_integral_quotient("n", "d")).collect()]
+    ref = [r[0] for r in df.select((F.col("n") % F.col("d")) == 0).collect()]
+    assert got == ref == [True, True, False, True]
