@@ -159,13 +159,11 @@ def test_any_equal_empty_is_false(spark):
 
 
 def test_integral_quotient_edges(spark):
-    from decimal import Decimal as Dm
-
     rows = [
-        (Dm("-12.3000"), Dm("4.1000")),        # -3 exactly
-        (Dm("99999999999999.9999"), Dm("0.0001")),  # largest money, smallest divisor
-        (Dm("10.0001"), Dm("5.0000")),         # not integral by 1/10000
-        (Dm("7.5000"), Dm("-2.5000")),         # -3 exactly
+        (Decimal("-12.3000"), Decimal("4.1000")),  # -3 exactly
+        (Decimal("99999999999999.9999"), Decimal("0.0001")),  # largest money, smallest divisor
+        (Decimal("10.0001"), Decimal("5.0000")),  # not integral by 1/10000
+        (Decimal("7.5000"), Decimal("-2.5000")),  # -3 exactly
     ]
     df = spark.createDataFrame(rows, "n decimal(18,4), d decimal(18,4)")
     got = [r[0] for r in df.select(M.is_integral_quotient("n", "d")).collect()]
