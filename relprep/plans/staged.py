@@ -104,14 +104,21 @@ def load_order_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
         M.line_value("p_retailprice", "l_quantity").alias("line_value"),
     )
+    orders = order_products = None
     if co_locatable(lines, ["order_id"], ORDER_BUCKETS):
-        orders = materialize_bucketed(loaded, f"orders_{tag}", f"{root}/orders", ["order_id"], ORDER_BUCKETS)
-        order_products = materialize_bucketed(
-            lines, f"order_products_{tag}", f"{root}/order_products", ["order_id"], ORDER_BUCKETS
-        )
-    else:
-        # A hot order would pin one bucket to one task: plain tables, shuffled
-        # join, and adaptive skew handling splits the hot key.
+        try:
+            orders = materialize_bucketed(loaded, f"orders_{tag}", f"{root}/orders_b", ["order_id"], ORDER_BUCKETS)
+            order_products = materialize_bucketed(
+                lines, f"order_products_{tag}", f"{root}/order_products_b", ["order_id"], ORDER_BUCKETS
+            )
+        except Exception:  # noqa: BLE001 - any catalog/warehouse failure
+            # Co-location is an optimization: without a usable session
+            # catalog (e.g. an unwritable warehouse folder), fall back to
+            # plain tables at fresh paths; results are the same.
+            orders = order_products = None
+    if orders is None or order_products is None:
+        # Plain tables (also when a hot order would pin one bucket to one
+        # task): shuffled join, and adaptive skew handling splits the hot key.
         orders = materialize(loaded, f"{root}/orders")
         order_products = materialize(lines, f"{root}/order_products")
     products = spark.read.schema(PRODUCT_LAYOUT).parquet(f"{root}/products")
