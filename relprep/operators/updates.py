@@ -1,6 +1,6 @@
 """Conditional updates and deletes as DataFrame -> DataFrame steps (UPD-*, DEL-1, PRJ-4/5).
 
-Parquet tables have no UPDATE/DELETE, and a data pipeline does not need
+Parquet tables have no UPDATE/DELETE, and a data preparation job does not need
 them: ``UPDATE t SET c = e WHERE p`` is ``c = CASE WHEN p THEN e ELSE c END``
 and ``DELETE FROM t WHERE p`` keeps the rows where ``p`` is false or NULL.
 Each step is a narrow transformation (no shuffle); chained steps collapse
