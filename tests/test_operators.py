@@ -248,3 +248,27 @@ def test_evidence_number_script_and_sheet_rules(spark):
     sheet = {r.k: r.ev for r in U.evidence_number(df, "ev", "shipped", "ordered", "k", "s", sep="_", ship_first=False).collect()}
     assert script[1] == "2020-01-09-2020-01-02" and sheet[1] == "2020-01-02_2020-01-09"
     assert len(script[2]) == 30 and script[2] == sheet[2]
+
+
+def test_lookup_key_with_duplicate_names_raises(spark):
+    # Trap 7: a scalar subquery returning two rows is an error, as in SQL.
+    import pytest
+
+    from relprep.operators.joins import lookup_key
+
+    dim = spark.createDataFrame([(5, "Oakland"), (10, "Oakland")], "id int, name string")
+    with pytest.raises(Exception):
+        spark.range(1).select(lookup_key(dim, "name", "Oakland", "id")).collect()
+    assert {r.name: r.n_rows for r in Q.unique_violations(dim, "name").collect()} == {"Oakland": 2}
+
+
+def test_money_overflow_raises_under_ansi(spark):
+    # Trap 11: ANSI mode is on; a value beyond decimal(18,4) raises instead of wrapping.
+    import pytest
+
+    from relprep.functions.money import money
+
+    assert spark.conf.get("spark.sql.ansi.enabled") == "true"
+    df = spark.createDataFrame([(1e15,)], "x double")
+    with pytest.raises(Exception):
+        df.select(money("x")).collect()
