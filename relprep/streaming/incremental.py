@@ -72,6 +72,7 @@ def run_to_table(
     """Run ``load_incrementally`` to completion and return the sink as a batch table."""
     spark = stream.sparkSession
     sink = sink_path or scratch_path(spark, "stream-sink")
+    schema = steps(stream).schema  # planning only; the query below runs the steps
     q = load_incrementally(stream, steps, sink)
     finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if finished is False:
@@ -79,4 +80,4 @@ def run_to_table(
         raise TimeoutError("incremental load did not finish in time")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
-    return spark.read.parquet(sink)
+    return spark.read.schema(schema).parquet(sink)
