@@ -20,6 +20,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
+from relprep.fixed import ROUND_UP_ABOVE_CENTS
+
 MONEY = DecimalType(18, 4)
 # Sums of money keep 4 decimals but need headroom for many rows.
 MONEY_SUM = DecimalType(38, 4)
@@ -71,7 +73,7 @@ def cents_part(c: Column | str) -> Column:
     return ((m - F.floor(m)) * 100).cast(MONEY)
 
 
-def rounded_up(whole: Column | str, cents: Column | str, above: int = 49) -> Column:
+def rounded_up(whole: Column | str, cents: Column | str, above: int = ROUND_UP_ABOVE_CENTS) -> Column:
     """whole + 1 when the cents exceed ``above``; NULL otherwise (PRJ-9)."""
     return F.when(_c(cents) > above, (_c(whole) + 1).cast(MONEY))
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from relprep.fixed import PASSWORD_TOKEN_LENGTH
+
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -100,7 +102,7 @@ def keyed_token(*keys: Column | str, salt: str, length: int) -> Column:
     return F.left(keyed_guid(*keys, salt=salt), F.lit(length))
 
 
-def password_token(*keys: Column | str, salt: str, length: int = 16) -> Column:
+def password_token(*keys: Column | str, salt: str, length: int = PASSWORD_TOKEN_LENGTH) -> Column:
     """REPLACE(LOWER(LEFT(NEWID(), n)), '-', 7) in keyed form (STR-7, STR-8)."""
     return F.replace(F.lower(keyed_token(*keys, salt=salt, length=length)), F.lit("-"), F.lit("7"))
 

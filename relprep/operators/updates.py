@@ -17,6 +17,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from relprep.fixed import (
+    CODE_TOKEN_LENGTH,
+    EVIDENCE_TOKEN_LENGTH,
+    ORDER_NO_TOKEN_LENGTH,
+    SHORT_CODE_LENGTH,
+    TRIM_BELOW,
+    TRIM_LENGTH,
+    TRIM_START,
+    WEEK_LABELS,
+)
 from relprep.functions.predicates import has_letter, prefix_in
 from relprep.functions.text import (
     concat_strict,
@@ -71,10 +81,6 @@ def add_column(df: DataFrame, name: str, dtype: DataType | str, value: Column |
 
 # ---- Named rules from the reference scripts ------------------------------
 
-# Week labels and their day ranges (UPD-5).
-WEEK_LABELS = [(7, "Prva"), (14, "Druga"), (21, "Treca"), (28, "Cetvrta")]
-
-
 def week_bucket(days: Column | str) -> Column:
     """Delivery week label from a day count (UPD-5).
 
@@ -100,7 +106,7 @@ def evidence_number(df: DataFrame, column: str, shipped: str, ordered: str, key:
         df,
         column,
         [
-            (F.col(shipped).isNull(), keyed_token(key, salt=salt, length=30)),
+            (F.col(shipped).isNull(), keyed_token(key, salt=salt, length=EVIDENCE_TOKEN_LENGTH)),
             (F.col(shipped).isNotNull(), concat_strict(date_text(first), sep, date_text(second))),
         ],
     )
@@ -115,17 +121,19 @@ def reverse_code(df: DataFrame, column: str, code: str, unit: str, keys: list[st
         column,
         [
             (~has_letter(code), F.reverse(concat_strict(right(unit, 4), F.col(code)))),
-            (has_letter(code), F.reverse(keyed_token(*keys, salt=salt, length=20))),
+            (has_letter(code), F.reverse(keyed_token(*keys, salt=salt, length=CODE_TOKEN_LENGTH))),
         ],
     )
 
 
-def shorten_code(df: DataFrame, column: str, keys: list[str], salt: str, from_len: int = 20, to_len: int = 4) -> DataFrame:
+def shorten_code(df: DataFrame, column: str, keys: list[str], salt: str,
+                 from_len: int = CODE_TOKEN_LENGTH, to_len: int = SHORT_CODE_LENGTH) -> DataFrame:
     """Replace codes of ``from_len`` characters by a ``to_len``-character token (UPD-11)."""
     return update(df, tsql_len(column) == from_len, {column: keyed_token(*keys, salt=salt, length=to_len)})
 
 
-def mask_by_prefix(df: DataFrame, column: str, digits: list[str], key: str, salt: str, length: int = 25) -> DataFrame:
+def mask_by_prefix(df: DataFrame, column: str, digits: list[str], key: str, salt: str,
+                   length: int = ORDER_NO_TOKEN_LENGTH) -> DataFrame:
     """Replace values whose first character is one of ``digits`` by a token (UPD-7)."""
     return update(df, prefix_in(column, digits), {column: keyed_token(key, salt=salt, length=length)})
 
@@ -141,7 +149,8 @@ def fill_from_key(df: DataFrame, column: str, key: str, rules: list[tuple[list[s
     return update_cases(df, column, cases)
 
 
-def trim_prefix(df: DataFrame, column: str, below: int = 25, start: int = 3, length: int = 22) -> DataFrame:
+def trim_prefix(df: DataFrame, column: str, below: int = TRIM_BELOW, start: int = TRIM_START,
+                length: int = TRIM_LENGTH) -> DataFrame:
     """SET c = SUBSTRING(c, 3, 22) WHERE LEN(c) < 25 (UPD-8)."""
     return update(df, tsql_len(column) < below, {column: tsql_substring(column, start, length)})
 

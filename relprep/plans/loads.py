@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from relprep.fixed import DEFAULT_NOTES, DELIVERY_MAX_DAYS, NOTES_LENGTH
 from relprep.functions import money as M
 from relprep.functions.dates import completed_years, day_diff
 from relprep.functions.predicates import is_single_word, like, not_like, starts_with_digit
@@ -109,8 +110,6 @@ def q_integral_quantity(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ---- SNK-1 / PRJ-7: insert with a column list, defaults for omitted columns --
-# Fixed value: default notes text of the publishers table.
-DEFAULT_NOTES = "Lorem ipsum"
 
 
 @check(
@@ -402,23 +401,28 @@ def q_four_way(spark: SparkSession, base: str) -> DataFrame:
 
 @check(
     "q_truncate_notes",
-    """SELECT doc_id, substr(text, 1, 100) AS notes_100, substr(text, 1, 99) AS notes_0_100 FROM documents""",
+    f"""SELECT doc_id, substr(text, 1, {NOTES_LENGTH}) AS notes_100, substr(text, 1, {NOTES_LENGTH - 1}) AS notes_0_100
+        FROM documents""",
     ("STR-5", "STR-13"),
 )
 def q_truncate_notes(spark: SparkSession, base: str) -> DataFrame:
     d = load(spark, base, "documents")
-    return d.select("doc_id", nvarchar("text", 100).alias("notes_100"), tsql_substring("text", 0, 100).alias("notes_0_100"))
+    return d.select(
+        "doc_id",
+        nvarchar("text", NOTES_LENGTH).alias("notes_100"),
+        tsql_substring("text", 0, NOTES_LENGTH).alias("notes_0_100"),
+    )
 
 
 # ---- DAT-2 / FLT-16 / FLT-4 / UPD-5 / PRM-4: delivery window and week buckets ------
 
-SQL_DELIVERY = """
+SQL_DELIVERY = f"""
     SELECT p_partkey AS product_id, s_name AS supplier_name, n_name AS ship_city,
            CAST(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) AS INTEGER) AS days_to_ship
     FROM part JOIN lineitem ON p_partkey = l_partkey JOIN orders ON l_orderkey = o_orderkey
     JOIN supplier ON l_suppkey = s_suppkey JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey
-    WHERE date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) <= 28"""
+    WHERE date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) <= {DELIVERY_MAX_DAYS}"""
 
 
 def delivery_view(spark: SparkSession, base: str) -> DataFrame:
@@ -434,7 +438,7 @@ def delivery_view(spark: SparkSession, base: str) -> DataFrame:
     orders_city = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
     j = li.join(orders_city, li.l_orderkey == o.o_orderkey).join(s, li.l_suppkey == s.s_suppkey)
     days = day_diff("o_orderdate", "l_shipdate")
-    return j.filter(days <= 28).select(
+    return j.filter(days <= DELIVERY_MAX_DAYS).select(
         F.col("l_partkey").alias("product_id"), F.col("s_name").alias("supplier_name"),
         F.col("n_name").alias("ship_city"), days.alias("days_to_ship"),
     )
@@ -448,10 +452,7 @@ def q_delivery_window(spark: SparkSession, base: str) -> DataFrame:
 @check(
     "q_week_bucket",
     f"""SELECT week, COUNT(week) AS n_lines FROM (
-          SELECT CASE WHEN days_to_ship <= 7 THEN 'Prva'
-                      WHEN days_to_ship BETWEEN 8 AND 14 THEN 'Druga'
-                      WHEN days_to_ship BETWEEN 15 AND 21 THEN 'Treca'
-                      WHEN days_to_ship BETWEEN 22 AND 28 THEN 'Cetvrta' END AS week
+          SELECT {S.week_case('days_to_ship')} AS week
           FROM ({SQL_DELIVERY})) GROUP BY week""",
     ("UPD-5", "FLT-4", "AGG-1", "PRM-4", "SRC-3"),
 )
@@ -461,7 +462,7 @@ def q_week_bucket(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ---- DAT-4: completed years since a date at a fixed as-of date -------------------
-# Fixed value: the as-of date for years of service.
+# Check parameter: the as-of date for years of service.
 ASOF = dt.date(2024, 6, 30)
 
 
@@ -525,7 +526,7 @@ def q_count_integral_by_category(spark: SparkSession, base: str) -> DataFrame:
     return count_by(integral_view(spark, base), ["category"], "category", "n_lines")
 
 
-# The arguments of the two procedure calls over the rounded prices.
+# Check parameters: the arguments of the two procedure calls over the rounded prices.
 ROUND_UP_ORDER, ROUND_UP_CLIENT = 10730, 1234
 
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from relprep.fixed import TOP_N
 from relprep.functions import money as M
 from relprep.functions.dates import year_diff
 from relprep.functions.text import tsql_len
@@ -96,7 +97,7 @@ def q_count_by_quality(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ---- AGG-3 / AGG-6 / AGG-8 / STR-6 / FLT-15: length histogram and its stats ----
-# Fixed value: length bound of the histogram view (LEN(x) < bound).
+# Check parameter: length bound of the histogram view (LEN(x) < bound).
 LEN_BOUND = 50
 
 
@@ -205,7 +206,7 @@ def q_having_count(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ---- AGG-11 / AGG-10 / SRT-2: discount-aware sales per product --------------------
-# Fixed value: sales threshold of the report.
+# Check parameter: sales threshold of the report.
 SALES_THRESHOLD = 1_000_000
 
 
@@ -320,8 +321,7 @@ def q_count_within_years(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ---- SRT-4 / SRT-5 / JOIN-7 / UPD-2: top-n and the ordered two-step update -------
-# Size of the first batch and the two city names looked up.
-TOP_N = 10
+# The two city names looked up (the batch size TOP_N is a fixed value).
 FIRST_CITY, REST_CITY = "NATION_3", "NATION_7"
 
 
@@ -354,7 +354,7 @@ def q_assign_top_n(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ---- SRT-3: reproducible random order -----------------------------------------
-# Fixed value: salt of the reproducible shuffle.
+# Check parameter: salt of the reproducible shuffle.
 SHUFFLE_SALT = "load-order"
 
 

@@ -6,6 +6,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from relprep.fixed import (
+    CARD_DIGITS_KEPT,
+    CODE_CHECK_LENGTH,
+    CODE_LENGTH,
+    CODE_TOKEN_LENGTH,
+    MAIL_DOMAIN,
+    MAIL_PASSWORD_LENGTH,
+    MAIL_PASSWORD_START,
+    MASK_FIRST_DIGITS,
+    MIN_PRODUCTS,
+    MISSING_TITLE,
+    ORDER_NO_TOKEN_LENGTH,
+    SHORT_CODE_LENGTH,
+    STORE_FILL_RULES,
+    TRIM_BELOW,
+    TRIM_LENGTH,
+    TRIM_START,
+)
 from relprep.functions import money as M
 from relprep.functions.predicates import like
 from relprep.functions.text import concat_strict, date_text, keyed_token, password_token, right, tsql_len, tsql_substring
@@ -33,7 +51,11 @@ from relprep.operators.sorting import sort_report
 from relprep.sources.sinks import stage
 from relprep.sources.tables import load
 
-# Salts of the keyed tokens that stand in for NEWID().
+def _sql_list(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+# Salts of the keyed tokens that stand in for NEWID().
 SALT_PASSWORD = "password"
 SALT_EVIDENCE = "evidence"
 SALT_CODE = "code"
@@ -65,7 +87,7 @@ def q_random_token(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ---- JOIN-6 / STR-15 / SNK-4 / SRT-1: contact sheet with optional cards -----------
-# Fixed value: order value above which an order counts as a "card".
+# Check parameter: order value above which an order counts as a "card".
 CARD_ORDER_VALUE = 400_000
 
 
@@ -86,7 +108,7 @@ def contact_sheet(spark: SparkSession, base: str) -> DataFrame:
         .join(cards, o.o_orderkey == cards.l_orderkey, "left")
     )
     return j.select(
-        F.coalesce(F.col("o_orderstatus"), F.lit("N/A")).alias("title"),
+        F.coalesce(F.col("o_orderstatus"), F.lit(MISSING_TITLE)).alias("title"),
         last.alias("last_name"),
         first.alias("first_name"),
         F.col("n_name").alias("nation"),
@@ -99,7 +121,7 @@ def contact_sheet(spark: SparkSession, base: str) -> DataFrame:
 
 @check(
     "q_contact_sheet",
-    f"""SELECT COALESCE(o.o_orderstatus, 'N/A') AS title, split_part(c_name, '#', 2) AS last_name,
+    f"""SELECT COALESCE(o.o_orderstatus, '{MISSING_TITLE}') AS title, split_part(c_name, '#', 2) AS last_name,
                split_part(c_name, '#', 1) AS first_name, n_name AS nation, o.o_orderkey AS card_number,
                card_date,
                split_part(c_name, '#', 1) || '.' || split_part(c_name, '#', 2) AS username,
@@ -116,7 +138,7 @@ def q_contact_sheet(spark: SparkSession, base: str) -> DataFrame:
 @check(
     "q_contact_sheet_filtered",
     f"""SELECT * FROM (
-          SELECT COALESCE(o.o_orderstatus, 'N/A') AS title, split_part(c_name, '#', 2) AS last_name,
+          SELECT COALESCE(o.o_orderstatus, '{MISSING_TITLE}') AS title, split_part(c_name, '#', 2) AS last_name,
                  split_part(c_name, '#', 1) AS first_name, n_name AS nation, o.o_orderkey AS card_number,
                  card_date,
                  split_part(c_name, '#', 1) || '.' || split_part(c_name, '#', 2) AS username,
@@ -135,14 +157,14 @@ def q_contact_sheet_filtered(spark: SparkSession, base: str) -> DataFrame:
 
 @check(
     "q_contact_docs",
-    """SELECT documents.doc_id, lang, COALESCE(CAST(quality AS VARCHAR), 'N/A') AS quality_label
+    f"""SELECT documents.doc_id, lang, COALESCE(CAST(quality AS VARCHAR), '{MISSING_TITLE}') AS quality_label
        FROM documents LEFT JOIN labels ON documents.doc_id = labels.doc_id""",
     ("JOIN-6", "STR-15"),
 )
 def q_contact_docs(spark: SparkSession, base: str) -> DataFrame:
     d = load(spark, base, "documents").select("doc_id", "lang")
     lab = load(spark, base, "labels").select("doc_id", F.col("quality").cast("string").alias("quality_label"))
-    return left_join_default(d, lab, "doc_id", {"quality_label": "N/A"})
+    return left_join_default(d, lab, "doc_id", {"quality_label": MISSING_TITLE})
 
 
 # ---- DEL-1 / FLT-6: deletes on a left-joined stage ----------------------------------
@@ -225,7 +247,7 @@ def _sql_code() -> str:
     SELECT product_id, supplier_id, unit, postcode,
            CASE WHEN NOT regexp_matches(postcode, '[A-Za-z]') THEN reverse(right(unit, 4) || postcode)
                 WHEN regexp_matches(postcode, '[A-Za-z]')
-                     THEN reverse({S.token('product_id', 'supplier_id', salt=SALT_CODE, length=20)}) END AS code
+                     THEN reverse({S.token('product_id', 'supplier_id', salt=SALT_CODE, length=CODE_TOKEN_LENGTH)}) END AS code
     FROM ({_SQL_CATALOG_CODES})"""
 
 
@@ -244,7 +266,8 @@ def q_reverse_code(spark: SparkSession, base: str) -> DataFrame:
 @check(
     "q_shorten_code",
     f"""SELECT product_id, supplier_id,
-               CASE WHEN {S.tsql_len('code')} = 20 THEN {S.token('product_id', 'supplier_id', salt=SALT_SHORT, length=4)}
+               CASE WHEN {S.tsql_len('code')} = {CODE_LENGTH}
+                    THEN {S.token('product_id', 'supplier_id', salt=SALT_SHORT, length=SHORT_CODE_LENGTH)}
                     ELSE code END AS code
         FROM ({_sql_code()})""",
     ("UPD-11", "STR-6"),
@@ -268,8 +291,8 @@ def q_web_address(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ---- UPD-1 / UPD-10 / PRM-5: two e-mail layouts by city ----------------------------
-# The two cities and the mail domain of the e-mail rule.
-MAIL_CITY_A, MAIL_CITY_B, MAIL_DOMAIN = "NATION_3", "NATION_7", "fit.ba"
+# The two cities of the e-mail rule (the mail domain is a fixed value).
+MAIL_CITY_A, MAIL_CITY_B = "NATION_3", "NATION_7"
 
 
 @check(
@@ -306,14 +329,14 @@ def q_email_rule(spark: SparkSession, base: str) -> DataFrame:
 @check(
     "q_mask_by_prefix",
     f"""SELECT o_orderkey,
-               CASE WHEN left(o_orderpriority, 1) IN ('1', '3')
-                    THEN {S.token('o_orderkey', salt=SALT_MASK, length=25)} ELSE o_orderpriority END AS order_no
+               CASE WHEN left(o_orderpriority, 1) IN ({_sql_list(MASK_FIRST_DIGITS)})
+                    THEN {S.token('o_orderkey', salt=SALT_MASK, length=ORDER_NO_TOKEN_LENGTH)} ELSE o_orderpriority END AS order_no
         FROM orders""",
     ("UPD-7", "FLT-5", "STR-2", "CST-1"),
 )
 def q_mask_by_prefix(spark: SparkSession, base: str) -> DataFrame:
     o = load(spark, base, "orders").select("o_orderkey", F.col("o_orderpriority").alias("order_no"))
-    return mask_by_prefix(o, "order_no", ["1", "3"], "o_orderkey", SALT_MASK)
+    return mask_by_prefix(o, "order_no", MASK_FIRST_DIGITS, "o_orderkey", SALT_MASK)
 
 
 # ---- UPD-2 / UPD-6 / UPD-8: ordered fill, fill-from-key, trim ------------------------------
@@ -335,45 +358,42 @@ def orders_with_store(spark: SparkSession, base: str) -> DataFrame:
 @check(
     "q_fill_from_key",
     f"""SELECT o_orderkey,
-               CASE WHEN store_id IS NULL AND left(CAST(o_orderkey AS VARCHAR), 1) IN ('4', '5')
-                         THEN CAST(right(CAST(o_orderkey AS VARCHAR), 3) AS BIGINT)
-                    WHEN store_id IS NULL AND left(CAST(o_orderkey AS VARCHAR), 1) IN ('6', '7')
-                         THEN CAST(right(CAST(o_orderkey AS VARCHAR), 4) AS BIGINT)
-                    ELSE store_id END AS store_id
+               {S.fill_from_key_case('store_id', 'o_orderkey', STORE_FILL_RULES)} AS store_id
         FROM ({_SQL_STORES})""",
     ("UPD-6", "STR-3", "STR-2", "CST-1"),
 )
 def q_fill_from_key(spark: SparkSession, base: str) -> DataFrame:
     o = orders_with_store(spark, base).select("o_orderkey", "store_id")
-    return fill_from_key(o, "store_id", "o_orderkey", [(["4", "5"], 3), (["6", "7"], 4)])
+    return fill_from_key(o, "store_id", "o_orderkey", STORE_FILL_RULES)
 
 
 @check(
     "q_trim_prefix",
     f"""WITH masked AS (
           SELECT o_orderkey,
-                 CASE WHEN left(o_orderpriority, 1) IN ('1', '3')
-                      THEN {S.token('o_orderkey', salt=SALT_MASK, length=25)} ELSE o_orderpriority END AS order_no
+                 CASE WHEN left(o_orderpriority, 1) IN ({_sql_list(MASK_FIRST_DIGITS)})
+                      THEN {S.token('o_orderkey', salt=SALT_MASK, length=ORDER_NO_TOKEN_LENGTH)} ELSE o_orderpriority END AS order_no
           FROM orders),
         filled AS (
-          SELECT o_orderkey, COALESCE(order_no, {S.token('o_orderkey', salt=SALT_ORDER_NO, length=25)}) AS order_no
+          SELECT o_orderkey, COALESCE(order_no, {S.token('o_orderkey', salt=SALT_ORDER_NO, length=ORDER_NO_TOKEN_LENGTH)}) AS order_no
           FROM masked)
         SELECT o_orderkey,
-               CASE WHEN {S.tsql_len('order_no')} < 25 THEN substr(order_no, 3, 22) ELSE order_no END AS order_no
+               CASE WHEN {S.tsql_len('order_no')} < {TRIM_BELOW} THEN substr(order_no, {TRIM_START}, {TRIM_LENGTH})
+                    ELSE order_no END AS order_no
         FROM filled""",
     ("UPD-8", "UPD-2", "STR-4", "PRM-5"),
 )
 def q_trim_prefix(spark: SparkSession, base: str) -> DataFrame:
     o = load(spark, base, "orders").select("o_orderkey", F.col("o_orderpriority").alias("order_no"))
     return (
-        o.transform(lambda df: mask_by_prefix(df, "order_no", ["1", "3"], "o_orderkey", SALT_MASK))
-        .transform(lambda df: fill_null(df, "order_no", keyed_token("o_orderkey", salt=SALT_ORDER_NO, length=25)))
+        o.transform(lambda df: mask_by_prefix(df, "order_no", MASK_FIRST_DIGITS, "o_orderkey", SALT_MASK))
+        .transform(lambda df: fill_null(df, "order_no", keyed_token("o_orderkey", salt=SALT_ORDER_NO, length=ORDER_NO_TOKEN_LENGTH)))
         .transform(lambda df: trim_prefix(df, "order_no"))
     )
 
 
 # ---- FLT-10 / PRM-1 / PRM-2: optional-parameter search ----------------------------------
-# The arguments of the procedure calls.
+# Check parameters: the arguments of the procedure calls.
 SEARCH_CATEGORY = "Brand#13"
 SEARCH_ORDER, SEARCH_PRICE = 7, "901.0"
 
@@ -438,7 +458,7 @@ def q_optional_params_sql(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ---- FLT-11 / FLT-9: guarded optional-parameter search -------------------------------
-# The guard character and the two arguments.
+# Check parameters: the guard character and the two arguments.
 GUARD_CHAR, SEARCH_LANG, SEARCH_SOURCE = "(", "fr", "src7"
 
 
@@ -458,14 +478,14 @@ def q_optional_params_guarded(spark: SparkSession, base: str) -> DataFrame:
 
 # ---- UPD-11 / UPD-7 (suffix form) / FLT-15 / AGG-10: employee codes ---------------
 # Employee -> client, employee city -> the client's nation, hire date -> order date.
-# The city suffix whose codes are replaced, and the token salts.
+# Check parameters: the city suffix whose codes are replaced, and the token salts.
 CODE_CITY_SUFFIX = "7"
 SALT_EMPLOYEE_CODE = "employee-code"
 SALT_EMPLOYEE_SHORT = "employee-short"
 
 _SQL_EMPLOYEE_CODES = f"""
     SELECT order_id, employee,
-           CASE WHEN city LIKE '%{CODE_CITY_SUFFIX}' THEN {S.token('order_id', salt=SALT_EMPLOYEE_CODE, length=20)}
+           CASE WHEN city LIKE '%{CODE_CITY_SUFFIX}' THEN {S.token('order_id', salt=SALT_EMPLOYEE_CODE, length=CODE_TOKEN_LENGTH)}
                 ELSE code END AS code
     FROM (SELECT o_orderkey AS order_id, c_name AS employee, n_name AS city,
                  reverse(n_name || ' ' || left(CAST(CAST(o_orderdate AS DATE) AS VARCHAR), 10)) AS code
@@ -484,7 +504,7 @@ def employee_codes(spark: SparkSession, base: str) -> DataFrame:
         F.reverse(concat_strict(F.col("n_name"), " ", F.left(date_text("o_orderdate"), F.lit(10)))).alias("code"),
     )
     masked = update(coded, like("city", f"%{CODE_CITY_SUFFIX}"),
-                    {"code": keyed_token("order_id", salt=SALT_EMPLOYEE_CODE, length=20)})
+                    {"code": keyed_token("order_id", salt=SALT_EMPLOYEE_CODE, length=CODE_TOKEN_LENGTH)})
     return masked.drop("city")
 
 
@@ -497,25 +517,26 @@ def q_employee_code(spark: SparkSession, base: str) -> DataFrame:
     "q_employee_code_counts",
     f"""SELECT employee, code, COUNT(p_name) AS n_products
         FROM ({_SQL_EMPLOYEE_CODES}) e JOIN lineitem ON e.order_id = l_orderkey JOIN part ON l_partkey = p_partkey
-        WHERE {S.tsql_len('code')} = 20
-        GROUP BY employee, code HAVING COUNT(p_name) > 2 ORDER BY n_products DESC""",
+        WHERE {S.tsql_len('code')} = {CODE_LENGTH}
+        GROUP BY employee, code HAVING COUNT(p_name) > {MIN_PRODUCTS} ORDER BY n_products DESC""",
     ("AGG-10", "FLT-15", "SRT-2", "JOIN-3"),
 )
 def q_employee_code_counts(spark: SparkSession, base: str) -> DataFrame:
     """Per employee and 20-character code, the number of products ordered (> 2)."""
-    codes = employee_codes(spark, base).filter(tsql_len("code") == 20)
+    codes = employee_codes(spark, base).filter(tsql_len("code") == CODE_LENGTH)
     li = load(spark, base, "lineitem")
     p = load(spark, base, "part")
     per_order = li.join(p, li.l_partkey == p.p_partkey).groupBy("l_orderkey").agg(F.count("p_name").alias("_n"))
     j = codes.join(per_order, codes.order_id == per_order.l_orderkey)
-    out = j.groupBy("employee", "code").agg(F.sum("_n").alias("n_products")).filter(F.col("n_products") > 2)
+    out = j.groupBy("employee", "code").agg(F.sum("_n").alias("n_products")).filter(F.col("n_products") > MIN_PRODUCTS)
     return sort_report(out, F.desc("n_products"), unique=["employee", "code"])
 
 
 @check(
     "q_employee_code_short",
     f"""SELECT order_id, employee,
-               CASE WHEN {S.tsql_len('code')} = 20 THEN {S.token('order_id', salt=SALT_EMPLOYEE_SHORT, length=4)}
+               CASE WHEN {S.tsql_len('code')} = {CODE_LENGTH}
+                    THEN {S.token('order_id', salt=SALT_EMPLOYEE_SHORT, length=SHORT_CODE_LENGTH)}
                     ELSE code END AS code
         FROM ({_SQL_EMPLOYEE_CODES})""",
     ("UPD-11", "STR-6"),
@@ -526,12 +547,12 @@ def q_employee_code_short(spark: SparkSession, base: str) -> DataFrame:
 
 @check(
     "q_dq_employee_code_check",
-    f"""SELECT employee, code FROM ({_SQL_EMPLOYEE_CODES}) WHERE NOT ({S.tsql_len('code')} = 15)""",
+    f"""SELECT employee, code FROM ({_SQL_EMPLOYEE_CODES}) WHERE NOT ({S.tsql_len('code')} = {CODE_CHECK_LENGTH})""",
     ("DQ-7", "UPD-11"),
 )
 def q_dq_employee_code_check(spark: SparkSession, base: str) -> DataFrame:
     """CHECK (LEN(code) = 15) on the employee codes: the violating rows (NULL passes)."""
-    return check_violations(employee_codes(spark, base), tsql_len("code") == 15).select("employee", "code")
+    return check_violations(employee_codes(spark, base), tsql_len("code") == CODE_CHECK_LENGTH).select("employee", "code")
 
 
 # ---- DEL-1 on the staged contact sheet: people without a card are deleted -----------
@@ -540,7 +561,7 @@ def q_dq_employee_code_check(spark: SparkSession, base: str) -> DataFrame:
 @check(
     "q_contact_sheet_with_cards",
     f"""SELECT * FROM (
-          SELECT COALESCE(o.o_orderstatus, 'N/A') AS title, split_part(c_name, '#', 2) AS last_name,
+          SELECT COALESCE(o.o_orderstatus, '{MISSING_TITLE}') AS title, split_part(c_name, '#', 2) AS last_name,
                  split_part(c_name, '#', 1) AS first_name, n_name AS nation, o.o_orderkey AS card_number,
                  card_date,
                  split_part(c_name, '#', 1) || '.' || split_part(c_name, '#', 2) AS username,
@@ -572,8 +593,8 @@ def card_mail_view(spark: SparkSession, base: str) -> DataFrame:
                           F.lpad(right("c_custkey", 4), 4, "0"))
     return j.select(
         F.col("c_custkey").alias("person_id"),
-        right(card, 11).alias("new_card_number"),
-        tsql_substring(mail_password, 10, 34).alias("new_mail_password"),
+        right(card, CARD_DIGITS_KEPT).alias("new_card_number"),
+        tsql_substring(mail_password, MAIL_PASSWORD_START, MAIL_PASSWORD_LENGTH).alias("new_mail_password"),
         phone.alias("phone"),
         tsql_len(phone).alias("phone_length"),
     )
@@ -582,8 +603,8 @@ def card_mail_view(spark: SparkSession, base: str) -> DataFrame:
 @check(
     "q_card_mail_view",
     f"""SELECT c_custkey AS person_id,
-               right(lpad(CAST(o_orderkey AS VARCHAR), 14, '0'), 11) AS new_card_number,
-               substr(to_base64(unhex(sha256(c_name))), 10, 34) AS new_mail_password,
+               right(lpad(CAST(o_orderkey AS VARCHAR), 14, '0'), {CARD_DIGITS_KEPT}) AS new_card_number,
+               substr(to_base64(unhex(sha256(c_name))), {MAIL_PASSWORD_START}, {MAIL_PASSWORD_LENGTH}) AS new_mail_password,
                phone, {S.tsql_len('phone')} AS phone_length
         FROM (SELECT *, '1 (' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || ') 500 555-'
                         || lpad(right(CAST(c_custkey AS VARCHAR), 4), 4, '0') AS phone FROM customer) c

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from relprep.fixed import WEEK_LABELS
+
 
 def money(expr: str) -> str:
     return f"CAST({expr} AS DECIMAL(18,4))"
@@ -36,3 +38,26 @@ def tsql_len(expr: str) -> str:
 
 def postcode(key: str) -> str:
     return f"left(md5(CAST({key} AS VARCHAR)), 6)"
+
+
+def week_case(days: str) -> str:
+    """CASE expression labelling a day count with its delivery week."""
+    (first, label), rest = WEEK_LABELS[0], WEEK_LABELS[1:]
+    parts = [f"WHEN {days} <= {first} THEN '{label}'"]
+    lower = first + 1
+    for upper, lab in rest:
+        parts.append(f"WHEN {days} BETWEEN {lower} AND {upper} THEN '{lab}'")
+        lower = upper + 1
+    return "CASE " + " ".join(parts) + " END"
+
+
+def fill_from_key_case(column: str, key: str, rules: list[tuple[list[str], int]]) -> str:
+    """CASE filling NULL ``column`` from the last digits of ``key`` by its first digit."""
+    parts = []
+    for digits, n in rules:
+        listed = ", ".join(f"'{d}'" for d in digits)
+        parts.append(
+            f"WHEN {column} IS NULL AND left(CAST({key} AS VARCHAR), 1) IN ({listed}) "
+            f"THEN CAST(right(CAST({key} AS VARCHAR), {n}) AS BIGINT)"
+        )
+    return "CASE " + " ".join(parts) + f" ELSE {column} END"

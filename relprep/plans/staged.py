@@ -14,6 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, LongType, StringType, StructField, StructType
 
+from relprep.fixed import (
+    DELIVERY_MAX_DAYS,
+    ORDER_NO_TOKEN_LENGTH,
+    STORE_FILL_RULES,
+    TRIM_BELOW,
+    TRIM_LENGTH,
+    TRIM_START,
+)
 from relprep.functions import money as M
 from relprep.functions.dates import as_date, day_diff
 from relprep.functions.text import keyed_token, tsql_len
@@ -54,7 +62,7 @@ ORDER_PRODUCT_LAYOUT = StructType([
     StructField("line_value", M.MONEY, True),
 ])
 
-# Fixed value: the discount of the loaded order lines.
+# Check parameter: the discount of the loaded order lines.
 LOADED_DISCOUNT = "0.05"
 
 
@@ -131,7 +139,7 @@ def delivery_weeks(spark: SparkSession, base: str) -> DataFrame:
     days = day_diff("order_date", "ship_date")
     view = (
         op.join(od, "order_id").join(pr, "product_id")
-        .filter(days <= 28)
+        .filter(days <= DELIVERY_MAX_DAYS)
         .select("product_id", "category", "ship_city", days.alias("days_to_ship"))
     )
     delivered = materialize(view, scratch_path(spark, "delivery"))  # SELECT ... INTO
@@ -150,10 +158,9 @@ def delivery_weeks(spark: SparkSession, base: str) -> DataFrame:
                WHERE {S.money('l_discount')} = {LOADED_DISCOUNT}),
         v AS (SELECT date_diff('day', order_date, ship_date) AS d
               FROM part JOIN op ON p_partkey = op.product_id JOIN od ON op.order_id = od.order_id
-              WHERE date_diff('day', order_date, ship_date) <= 28)
+              WHERE date_diff('day', order_date, ship_date) <= {DELIVERY_MAX_DAYS})
         SELECT week, COUNT(week) AS n_lines FROM (
-          SELECT CASE WHEN d <= 7 THEN 'Prva' WHEN d BETWEEN 8 AND 14 THEN 'Druga'
-                      WHEN d BETWEEN 15 AND 21 THEN 'Treca' WHEN d BETWEEN 22 AND 28 THEN 'Cetvrta' END AS week
+          SELECT {S.week_case('d')} AS week
           FROM v) GROUP BY week""",
     ("SNK-1", "SNK-2", "SNK-3", "PRJ-7", "DAT-2", "FLT-16", "UPD-5", "PRM-4", "PRM-5", "JOIN-3"),
 )
@@ -167,7 +174,7 @@ CARD_ORDER_LAYOUT = StructType([
     StructField("order_no", StringType(), True),
     StructField("store_id", LongType(), True),
 ])
-# Fixed value: salt of the order-number token (7a).
+# Check parameter: salt of the order-number token (7a).
 SALT_ORDER_NO = "order-no"
 
 
@@ -188,8 +195,9 @@ def updated_card_orders(spark: SparkSession, base: str) -> DataFrame:
     )
     t = spark.read.schema(CARD_ORDER_LAYOUT).parquet(f"{root}/orders")
     t = (
-        t.transform(lambda df: fill_null(df, "order_no", keyed_token("order_id", salt=SALT_ORDER_NO, length=25)))
-        .transform(lambda df: fill_from_key(df, "store_id", "order_id", [(["4", "5"], 3), (["6", "7"], 4)]))
+        t.transform(lambda df: fill_null(
+            df, "order_no", keyed_token("order_id", salt=SALT_ORDER_NO, length=ORDER_NO_TOKEN_LENGTH)))
+        .transform(lambda df: fill_from_key(df, "store_id", "order_id", STORE_FILL_RULES))
         .transform(lambda df: trim_prefix(df, "order_no"))
     )
     return materialize(t, f"{root}/orders_updated")
@@ -201,15 +209,12 @@ _SQL_CARD_ORDERS = f"""
                CAST(CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS BIGINT) AS store_id
         FROM orders JOIN customer ON o_custkey = c_custkey),
     filled AS (
-        SELECT order_id, COALESCE(order_no, {S.token('order_id', salt=SALT_ORDER_NO, length=25)}) AS order_no,
-               CASE WHEN store_id IS NULL AND left(CAST(order_id AS VARCHAR), 1) IN ('4', '5')
-                         THEN CAST(right(CAST(order_id AS VARCHAR), 3) AS BIGINT)
-                    WHEN store_id IS NULL AND left(CAST(order_id AS VARCHAR), 1) IN ('6', '7')
-                         THEN CAST(right(CAST(order_id AS VARCHAR), 4) AS BIGINT)
-                    ELSE store_id END AS store_id
+        SELECT order_id, COALESCE(order_no, {S.token('order_id', salt=SALT_ORDER_NO, length=ORDER_NO_TOKEN_LENGTH)}) AS order_no,
+               {S.fill_from_key_case('store_id', 'order_id', STORE_FILL_RULES)} AS store_id
         FROM loaded)
     SELECT order_id,
-           CASE WHEN {S.tsql_len('order_no')} < 25 THEN substr(order_no, 3, 22) ELSE order_no END AS order_no,
+           CASE WHEN {S.tsql_len('order_no')} < {TRIM_BELOW} THEN substr(order_no, {TRIM_START}, {TRIM_LENGTH})
+                ELSE order_no END AS order_no,
            store_id
     FROM filled"""
 
@@ -222,12 +227,13 @@ def q_order_numbers_staged(spark: SparkSession, base: str) -> DataFrame:
 @check(
     "q_order_number_lengths_staged",
     f"""WITH h AS (SELECT {S.tsql_len('order_no')} AS no_len, COUNT({S.tsql_len('order_no')}) AS n_orders
-                   FROM ({_SQL_CARD_ORDERS}) WHERE {S.tsql_len('order_no')} < 25 GROUP BY {S.tsql_len('order_no')})
+                   FROM ({_SQL_CARD_ORDERS}) WHERE {S.tsql_len('order_no')} < {TRIM_BELOW}
+                   GROUP BY {S.tsql_len('order_no')})
         SELECT no_len, n_orders FROM h WHERE n_orders > (SELECT SUM(n_orders) // COUNT(n_orders) FROM h)""",
     ("AGG-3", "AGG-6", "AGG-8", "FLT-15", "SNK-3"),
 )
 def q_order_number_lengths_staged(spark: SparkSession, base: str) -> DataFrame:
     t = updated_card_orders(spark, base)
     n = tsql_len("order_no")
-    hist = count_by(t.filter(n < 25), [n.alias("no_len")], n, "n_orders")
+    hist = count_by(t.filter(n < TRIM_BELOW), [n.alias("no_len")], n, "n_orders")
     return above_average(hist, "n_orders", integer=True)
