@@ -272,3 +272,14 @@ def test_money_overflow_raises_under_ansi(spark):
     df = spark.createDataFrame([(1e15,)], "x double")
     with pytest.raises(Exception):
         df.select(money("x")).collect()
+
+
+def test_sql_procedure_named_arguments_and_guard(spark):
+    df = spark.createDataFrame(
+        [(1, "(11) 500", "a"), (2, "500 555", "b"), (3, "(22) 700", "b")], "id bigint, phone string, pwd string"
+    )
+    name = S.sql_procedure(df, "proc_people", ["id", "phone", "pwd"], guard_sql="phone LIKE '%(%'")
+    got = sorted(r.id for r in spark.sql(f"SELECT * FROM {name}(p_pwd => 'b')").collect())
+    assert got == [3]  # id 2 matches the parameter but fails the guard
+    assert spark.sql(f"SELECT * FROM {name}()").count() == 0
+    assert sorted(r.id for r in spark.sql(f"SELECT * FROM {name}(p_id => 1, p_pwd => 'b')").collect()) == [1, 3]
