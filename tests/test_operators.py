@@ -283,3 +283,10 @@ def test_sql_procedure_named_arguments_and_guard(spark):
     assert got == [3]  # id 2 matches the parameter but fails the guard
     assert spark.sql(f"SELECT * FROM {name}()").count() == 0
     assert sorted(r.id for r in spark.sql(f"SELECT * FROM {name}(p_id => 1, p_pwd => 'b')").collect()) == [1, 3]
+
+
+def test_with_identity_more_partitions_than_rows(spark):
+    # A caller's session may use 200 shuffle partitions for 25 distinct cities.
+    df = spark.createDataFrame([(f"city{i:02d}",) for i in range(25)], "city string")
+    out = K.with_identity(df, ["city"], "id", seed=5, step=5, num_partitions=200)
+    assert rows(out, "city", "id") == [(f"city{i:02d}", 5 + 5 * i) for i in range(25)]
