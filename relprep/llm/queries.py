@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from relprep.llm import packing, simhash_dedup, token_store
+from relprep.llm import decontaminate, line_dedup, packing, quality_rules, simhash_dedup, suffix_dedup, token_store
 from relprep.llm.common import read
 from relprep.llm.registry import query
 
@@ -30,3 +30,40 @@ def op4(spark, sf_dir):
 def op5(spark, sf_dir):
     images = token_store.write_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), cut="space", end_id=0)
     return token_store.read_tokens(images)
+
+
+@query("op8_quality_rules")
+def op8(spark, sf_dir):
+    found = quality_rules.judge(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words", "base_failed", "kept")
+
+
+@query(
+    "op9_benchmark_decontamination",
+    r"""
+    WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents),
+    b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM benchmark),
+    ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
+    bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM b WHERE len(w) > 0)),
+    n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id),
+    hit AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY ALL)
+    SELECT doc_id, item_id, n_item, n_shared FROM hit JOIN n USING (item_id) WHERE n_shared * 10 >= n_item * 8
+    """,
+)
+def op9(spark, sf_dir):
+    found = decontaminate.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), threshold=0.8)
+    return found.select("doc_id", "item_id", "n_item", "n_shared")
+
+
+@query("op2_line_dedup")
+def op2(spark, sf_dir):
+    docs = read(spark, sf_dir, "documents")
+    found = line_dedup.deduplicate(docs, max_bits=3, similarity=0.8)
+    removed = F.coalesce("_removed", F.array().cast("array<int>"))
+    return found.select("doc_id", F.size(removed).alias("n_removed"), F.array_join(removed.cast("array<string>"), ",").alias("removed_lines"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query("op10_suffix_array_dedup")
+def op10(spark, sf_dir):
+    found = suffix_dedup.deduplicate(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
