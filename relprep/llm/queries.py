@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from relprep.llm import decontaminate, line_dedup, packing, quality_rules, simhash_dedup, suffix_dedup, token_store
+from relprep.llm import decontaminate, line_dedup, packing, pii_crf, quality_rules, secret_forest, simhash_dedup, suffix_dedup, token_store, url_model
 from relprep.llm.common import read
 from relprep.llm.registry import query
 
@@ -67,3 +67,27 @@ def op2(spark, sf_dir):
 def op10(spark, sf_dir):
     found = suffix_dedup.deduplicate(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op6_url_filter")
+def op6(spark, sf_dir):
+    return url_model.judge(read(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", F.round("score", 6).alias("score"), "verdict")
+
+
+@query("op7_secret_scan")
+def op7(spark, sf_dir):
+    found = secret_forest.scan(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", "stop", F.sha2("run", 256).alias("run_sha256"), "score")
+
+
+@query("op3_pii_spans")
+def op3(spark, sf_dir):
+    found = pii_crf.scan(read(spark, sf_dir, "documents"))
+    kinds = F.array(*[F.lit(k) for k in pii_crf.KINDS])
+
+    def listed(spans):  # by start, then kind as listed
+        placed = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.array_position(kinds, s["kind"]).alias("k"), s["stop"].alias("stop"))))
+        return F.array_join(F.transform(placed, lambda s: F.concat_ws(":", F.get(kinds, (s["k"] - 1).cast("int")), s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii_crf.KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.concat("base", "added")).alias("spans"))

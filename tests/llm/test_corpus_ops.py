@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from relprep.llm import decontaminate, line_dedup, packing, quality_rules, queries, simhash_dedup, suffix_dedup, token_store
+from relprep.llm import decontaminate, line_dedup, packing, pii_crf, quality_rules, queries, secret_forest, simhash_dedup, suffix_dedup, token_store, url_model
 from relprep.llm.common import connected_components
 from relprep.llm.registry import QUERIES
 from relprep.llm.tokenizing import Encoder
@@ -427,3 +427,197 @@ def test_empty_tables_and_queries(spark, tmp_path, awkward):
 
 def test_every_operator_has_a_query():
     assert queries and {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n.startswith("op")} == set(range(1, 11))
+
+
+# ---- operator 3
+
+
+def plain_base(text):
+    out = []
+    for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text):
+        out.append(("email", *m.span()))
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(x) <= 255 for x in m[0].split(".")):
+            out.append(("ip", *m.span()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in m[0] if c.isdigit()][::-1]
+        if 14 <= len(d) <= 19 and sum(x if i % 2 == 0 else 2 * x - 9 * (x > 4) for i, x in enumerate(d)) % 10 == 0:
+            out.append(("card", *m.span()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
+            out.append(("phone", *m.span()))
+    order = ("email", "ip", "card", "phone")
+    return sorted(out, key=lambda s: (s[1], order.index(s[0])))
+
+
+def test_pii_base_spans_on_noise_and_documents(docs):
+    rng = np.random.default_rng(9)
+    texts = [r.text for r in docs.collect()]
+    for alphabet in ("@.a-b1 ", "0123456789.", "0123456789 -", "+0123456789 ().-", "a@b.c1+é\n"):
+        texts += ["".join(rng.choice(list(alphabet), int(rng.integers(0, 80)))) for _ in range(400)]
+    texts += ["00000001.2.3.255 4111 1111 1111 1111 a.b@c.d.e@f.g +1 (017) 555-7713", "x@y", "@a.b", "a@b.c@d.e"]
+    for t in texts:
+        assert pii_crf.base_spans(t) == plain_base(t), t
+
+
+def test_pii_model_on_held_out_windows():
+    weights, hit, wrong, missed = pii_crf.default_weights(), 0, 0, 0
+    for text, spans in pii_crf.generated(300, seed=77):
+        got = set(pii_crf.decode(text, weights))
+        hit, wrong, missed = hit + len(got & set(spans)), wrong + len(got - set(spans)), missed + len(set(spans) - got)
+    assert hit / (hit + wrong) > 0.93 and hit / (hit + missed) > 0.93
+
+
+def test_pii_decoding_is_the_best_segmentation():
+    """Against every segmentation of short windows."""
+    weights = pii_crf.default_weights()
+
+    def every(ends, j):
+        if j == 0:
+            yield 0.0, "out", ()
+            return
+        for i, kind, names in [(j - 1, "out", []), *ends[j]]:
+            own = sum(weights.get(n, 0.0) for n in names)
+            for value, last, spans in every(ends, i):
+                yield value + own + weights.get(f"{last}>{kind}", 0.0), kind, (*spans, (kind, i, j)) if kind != "out" else spans
+
+    for text in ("ab 10.2.3.4 x", "tel 555-123-4567", "a@b.co, x"):
+        cut, ends = pii_crf.segments(text)
+        best = max(every(ends, len(cut) - 1))
+        assert pii_crf.decode(text, weights) == [(k, cut[i], cut[j]) for k, i, j in best[2]]
+
+
+def test_pii_scan(spark, awkward):
+    text = "Write to ann.lee@mail.example.com or call (555) 123-4567; host 10.0.0.7, é card 4111111111111111 4111111111111111."
+    rows = [(1, text, "x"), (None, None, "x"), (2, "", None), (1, text, "x"), (3, "1" * 5000 + " " + "9 " * 3000, "x")]
+    got = pii_crf.scan(spark.createDataFrame(rows, "doc_id long, text string, base string")).collect()
+    assert len(got) == 5
+    first = [r for r in got if r.doc_id == 1]
+    assert len(first) == 2 and first[0] == first[1]
+    assert [(s.kind, text[s.start : s.stop]) for s in first[0].base] == [("email", "ann.lee@mail.example.com"), ("ip", "10.0.0.7")]
+    assert ("phone", "(555) 123-4567") in [(s.kind, text[s.start : s.stop]) for s in first[0].added]
+    assert sum(s.kind == "card" for s in first[0].added) == 2
+    assert pii_crf.scan(awkward).count() == awkward.count()
+
+
+# ---- operator 6
+
+
+def test_url_parts_and_rules(spark):
+    cases = {
+        "https://WWW.Example.com/en/1?x#y": ("www.example.com", "/en/1", "www.example.com/en/", "allow"),
+        "http://a.example.com/en/9": ("a.example.com", "/en/9", "example.com/en/", "block"),
+        "http://a.example.com/fr/9#t": ("a.example.com", "/fr/9", "com/", "allow"),
+        "x://net/es/": ("net", "/es/", "net/es/", "block"),
+        "x://b.net/fr/a/b": ("b.net", "/fr/a/b", "net/fr/", "block"),
+        "x://b.net/en/a": ("b.net", "/en/a", None, None),
+        "http://notcom": ("notcom", "", None, None),
+        "http://a.com": ("a.com", "", None, None),
+        "http://a.com?q=/": ("a.com", "", None, None),
+        "http://É.com/": ("É.com", "/", "com/", "allow"),
+        "no scheme": ("", "", None, None),
+        "a://b://c.com/d": ("b:", "//c.com/d", None, None),
+        "://": ("", "", None, None),
+        None: ("", "", None, None),
+    }
+    rows = [(i, u, "junk") for i, u in enumerate(cases)]
+    got = url_model.judge(spark.createDataFrame(rows, "page_id long, url string, verdict string")).collect()
+    for r in got:
+        host, path, rule, verdict = cases[r.url]
+        assert (r.host, r.path, r.rule) == (host, path, rule), r
+        assert r.verdict == (verdict or r.verdict) and r.verdict in ("allow", "block")
+    assert len(got) == len(rows)
+
+
+def plain_gram_model(labelled, order):
+    counts = collections.defaultdict(lambda: collections.defaultdict(int))
+    for url, times in labelled:
+        text = url_model.START * order + url
+        for i in range(order, len(text)):
+            for k in range(order + 1):
+                counts[text[i - k : i]][text[i]] += times
+
+    def p(context, char):
+        low = p(context[1:], char) if context else 1 / url_model.ALPHABET
+        seen = counts.get(context)
+        return (seen.get(char, 0) + len(seen) * low) / (sum(seen.values()) + len(seen)) if seen else low
+
+    return p
+
+
+def test_url_scores_against_a_plain_model(spark):
+    rng = np.random.default_rng(10)
+    make = lambda x: x + "".join(rng.choice(list("abc/"), int(rng.integers(0, 12))))
+    rows = [(make("http://good.com/"), int(rng.integers(1, 4)), True) for _ in range(40)] + [(make("http://bad.net/"), 1, False) for _ in range(30)]
+    rows = list({r[0]: r for r in rows}.values())
+    order = 3
+    good = plain_gram_model([(u, n) for u, n, g in rows if g], order)
+    bad = plain_gram_model([(u, n) for u, n, g in rows if not g], order)
+    tried = [make("http://good.com/"), make("http://bad.org/"), "zzz", ""]
+    want = {}
+    for u in tried:
+        text = url_model.START * order + u
+        want[u] = sum(np.log(good(text[i - order : i], text[i])) - np.log(bad(text[i - order : i], text[i])) for i in range(order, len(text))) / max(1, len(u))
+    model = url_model.train(spark.createDataFrame(rows, "url string, times long, good boolean"), order)
+    got = {r.url: r.score for r in url_model.url_scores(spark.createDataFrame([(u,) for u in set(tried)], "url string"), model, order).collect()}
+    assert got.keys() == want.keys() and all(abs(got[u] - want[u]) < 1e-9 for u in want)
+
+
+def test_url_filter_on_held_out_kinds(spark):
+    """URLs that no rule decides follow the kind of path they share with decided ones."""
+    rows = []
+    for i in range(300):
+        rows.append((len(rows), f"http://s{i % 7}.com/news/{i}", None))
+        rows.append((len(rows), f"http://s{i % 7}.example.com/en/casino-win/{i}", None))
+    odd = [(10_000 + i, f"http://u{i}.org/{'en/casino-win' if i % 2 else 'news'}/{i}", None) for i in range(60)]
+    got = {r.page_id: r.verdict for r in url_model.judge(spark.createDataFrame(rows + odd, "page_id long, url string, html string")).collect()}
+    right = sum(got[p] == ("block" if "casino" in u else "allow") for p, u, _ in odd)
+    assert right >= 55
+    only = spark.createDataFrame([(1, "http://a.com/x"), (2, "http://b.org/x"), (2, "http://b.org/x"), (None, None)], "page_id long, url string")
+    assert sorted(r.verdict for r in url_model.judge(only).collect()) == ["allow"] * 4
+    assert url_model.judge(only.where("page_id = 9")).count() == 0
+
+
+# ---- operator 7
+
+
+def test_secret_findings_and_places(spark):
+    text = 'é api_key = "A9f8Q7z6X5c4V3b2N1m0" and /usr/local/share/dictionaries plus supercalifragilistic word'
+    rows = [(1, text, "s"), (2, None, None), (3, "", "s"), (4, "short", "s"), (5, "x" * 100_000, "s")]
+    got = secret_forest.findings(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    want = [(1, m.start(), m.end(), m[0]) for m in re.finditer(r"[A-Za-z0-9_+/=\-]{16,}", text)] + [(5, 0, 100_000, "x" * 100_000)]
+    assert sorted((r.doc_id, r.start, r.stop, r.run) for r in got) == sorted(want)
+    first = next(r for r in got if r.run.startswith("A9"))
+    assert first.before.endswith('api_key = "') and first.after == '"'
+
+
+def test_secret_forest_on_held_out_findings(spark):
+    rng = np.random.default_rng(12)
+    token = lambda n=40: "".join(rng.choice(list("0123456789abcdef"), n))
+    word = lambda n: "".join(rng.choice(list("etaoinshr"), n))
+    rows, hidden = [], {}
+    for d in range(400):
+        kind = d % 4
+        prose = " ".join(word(int(k)) for k in rng.integers(3, 9, 12))
+        if kind == 0:
+            rows.append((d, f'{prose} token = "{token()}" {prose}', "a"))
+        elif kind == 1:
+            rows.append((d, f"{prose} {word(20)} {prose}", "a"))
+        elif kind == 2:
+            rows.append((d, f"{prose} /{word(6)}/{word(7)}/{word(9)} {prose}", "a"))
+        elif d % 8 == 3:
+            hidden[d] = token()  # an unassigned secret
+            rows.append((d, f"{prose} see: `{hidden[d]}` {prose}", "a"))
+        else:
+            rows.append((d, prose, "a"))
+    got = secret_forest.scan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    by = collections.defaultdict(set)
+    for r in got:
+        by[r.doc_id % 4].add(r.doc_id)
+    assert len(by[0]) == 100 and len(by[1]) + len(by[2]) <= 10 and len(by[3]) >= 0.8 * len(hidden)
+    assert secret_forest.scan(spark.createDataFrame(rows[:0], "doc_id long, text string, source string")).count() == 0
+
+
+def test_secret_scan_awkward_rows(awkward):
+    assert secret_forest.scan(awkward).columns == ["doc_id", "start", "stop", "run", "score"]
+    assert secret_forest.scan(awkward).count() >= 0
