@@ -12,6 +12,8 @@ DELIVERY_MAX_DAYS = 28
 
 # Fixed value: default notes text of the publishers table.
 DEFAULT_NOTES = "Lorem ipsum"
+# Fixed value: default notes text of the titles table.
+TITLE_DEFAULT_NOTES = "The quick brown fox jumps over the lazy dog"
 # Fixed value: title shown when a person has none.
 MISSING_TITLE = "N/A"
 # Fixed value: mail domain of the e-mail rule.

@@ -1,12 +1,9 @@
 """Exact-decimal money arithmetic (the T-SQL MONEY type).
 
-MONEY is a 64-bit integer count of 1/10000 units.  It is mapped to
-``decimal(18,4)``: Spark keeps decimals of precision <= 18 in a single
-long (the compact representation, ~35% faster in scans, casts and
-aggregates than the BigDecimal-backed ``decimal(19,4)``).  The range is
-+-99,999,999,999,999.9999 instead of MONEY's +-922,337,203,685,477; a
-larger value raises an overflow error under ANSI mode rather than
-wrapping.
+MONEY is a 64-bit integer count of 1/10000 units, so its values reach
++-922,337,203,685,477.5807.  It is mapped to ``decimal(19,4)``, which holds
+them all; a larger value raises an overflow error under ANSI mode rather
+than wrapping.
 
 Driver data stores prices as double; every money column is cast once with
 ``money`` and all arithmetic after that is exact decimal arithmetic.
@@ -22,7 +19,7 @@ from pyspark.sql.types import DecimalType
 
 from relprep.fixed import ROUND_UP_ABOVE_CENTS
 
-MONEY = DecimalType(18, 4)
+MONEY = DecimalType(19, 4)
 # Sums of money keep 4 decimals but need headroom for many rows.
 MONEY_SUM = DecimalType(38, 4)
 
@@ -32,7 +29,7 @@ def _c(c: Column | str) -> Column:
 
 
 def money(c: Column | str) -> Column:
-    """Cast to decimal(18,4)."""
+    """Cast to decimal(19,4)."""
     return _c(c).cast(MONEY)
 
 
@@ -47,7 +44,7 @@ def safe_quotient(n: Column | str, d: Column | str) -> Column:
 
 
 def _unscaled(c: Column | str) -> Column:
-    """The money value in 1/10000 units as a long (exact: 18 digits fit)."""
+    """The money value in 1/10000 units as a long (exact: MONEY is a 64-bit count)."""
     return (money(c) * F.lit(10000)).cast("long")
 
 
@@ -83,9 +80,13 @@ def floor_price(c: Column | str) -> Column:
     return F.floor(money(c)).cast(MONEY)
 
 
-def discounted_sales(price: Column | str, quantity: Column | str, discount: Column | str) -> Column:
-    """price x quantity x (1 - discount) in exact decimals (AGG-11 input)."""
-    return money(price) * _c(quantity).cast("int") * (F.lit(1).cast(MONEY) - money(discount))
+def discounted_units(quantity: Column | str, discount: Column | str) -> Column:
+    """SUM(quantity x (1 - discount)) as decimal(18,4) (AGG-11 input).
+
+    Narrow enough that money x units keeps all eight decimals
+    (19 + 18 + 1 digits); an overflow raises.
+    """
+    return F.sum(_c(quantity).cast("int") * (F.lit(1).cast(MONEY) - money(discount))).cast(DecimalType(18, 4))
 
 
 def round_money(c: Column | str, scale: int = 2, dtype: DecimalType = MONEY_SUM) -> Column:

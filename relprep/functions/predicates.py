@@ -13,6 +13,8 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from relprep.functions.text import charindex
+
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -39,7 +41,7 @@ def has_letter(c: Column | str) -> Column:
 
 def is_single_word(c: Column | str) -> Column:
     """No space and no slash (FLT-14)."""
-    return (F.instr(_c(c), " ") == 0) & (F.instr(_c(c), "/") == 0)
+    return (charindex(" ", c) == 0) & (charindex("/", c) == 0)
 
 
 def prefix_in(c: Column | str, digits: list[str] | tuple[str, ...]) -> Column:

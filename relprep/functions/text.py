@@ -77,17 +77,27 @@ def date_text(c: Column | str) -> Column:
     return F.date_format(_c(c).cast("date"), "yyyy-MM-dd")
 
 
+def _key_text(*keys: Column | str, salt: str) -> Column:
+    """``length:value|`` for each key (``-|`` for NULL), then the salt."""
+    parts = []
+    for k in keys:
+        text = _c(k).cast("string")
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
+        parts.append(F.lit("|"))
+    return F.concat(*parts, F.lit(salt))
+
+
 def keyed_guid(*keys: Column | str, salt: str) -> Column:
     """A GUID-shaped token that is a pure function of (keys, salt) (STR-12).
 
     NEWID() is random; a random column is recomputed differently whenever
     a task is retried or a plan is read twice.  The keyed form gives the
     same shape (8-4-4-4-12 upper-case hex) and is reproducible, so retries
-    after executor loss give identical rows.  Key columns are joined with
-    ``|`` after conversion to text; NULL keys are skipped.
+    after executor loss give identical rows.  Pass keys that name the row:
+    each key enters with its length, and NULL has a sign of its own, so no
+    two key lists share a token by the way they are joined.
     """
-    parts = [_c(k).cast("string") for k in keys]
-    guid = F.upper(F.md5(F.concat_ws("|", *parts, F.lit(salt))))
+    guid = F.upper(F.md5(_key_text(*keys, salt=salt)))
     # Insert the four dashes back to front with zero-length overlays, so the
     # hash appears once in the expression tree: subexpression elimination
     # does not share work inside a CASE branch, and five substrings of the
@@ -109,8 +119,17 @@ def password_token(*keys: Column | str, salt: str, length: int = PASSWORD_TOKEN_
 
 def shuffle_key(*keys: Column | str, salt: str) -> Column:
     """Sort key for a reproducible random row order (SRT-3)."""
-    parts = [_c(k).cast("string") for k in keys]
-    return F.md5(F.concat_ws("|", *parts, F.lit(salt)))
+    return F.md5(_key_text(*keys, salt=salt))
+
+
+def without_first(c: Column | str, n: int) -> Column:
+    """The value without its first ``n`` characters (the card option of the task sheet)."""
+    return F.substr(_c(c), F.lit(n + 1))
+
+
+def without_trailing(c: Column | str, chars: str) -> Column:
+    """The value without trailing ``chars`` (the password option of the task sheet)."""
+    return F.rtrim(_c(c), F.lit(chars))
 
 
 def digits_only(c: Column | str) -> Column:

@@ -54,13 +54,3 @@ def above_average(df: DataFrame, c: str, integer: bool = False) -> DataFrame:
     """Rows whose ``c`` exceeds the average of ``c`` over ``df`` (AGG-8)."""
     return df.filter(F.col(c) > avg_of(df, c, integer))
 
-
-def with_gap(df: DataFrame, c: str, reference: Column, alias: str, reverse: bool = False) -> DataFrame:
-    """Add ``c - reference`` (or ``reference - c``) as ``alias`` (AGG-9)."""
-    gap = (reference - F.col(c)) if reverse else (F.col(c) - reference)
-    return df.withColumn(alias, gap)
-
-
-def having(df: DataFrame, pred: Column) -> DataFrame:
-    """HAVING: a filter on aggregated columns (AGG-10)."""
-    return df.filter(pred)

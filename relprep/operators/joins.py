@@ -14,16 +14,6 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a side built by ``limit(n)`` may be broadcast
-# explicitly: its size is bounded by construction, not by estimate.
-BROADCAST_ROW_BOUND = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint for a frame whose row count is bounded by construction."""
-    return F.broadcast(df) if max_rows <= BROADCAST_ROW_BOUND else df
-
-
 def lookup_key(dim: DataFrame, name_col: str, value: Any, key_col: str) -> Column:
     """``(SELECT key FROM dim WHERE name = value)`` as a scalar subquery (JOIN-7).
 

@@ -14,14 +14,15 @@ one task.  This operator numbers rows in parallel instead:
    broadcast join adds the offset back.
 
 Ordering is made total by appending every remaining column as a
-tie-breaker, so equal keys spread over several range partitions and a
-recomputed partition numbers its rows exactly as before.
+tie-breaker, so equal keys spread over several range partitions.  Rows that
+are equal in every column are told apart by their place in the input, so
+they spread as well; which of them gets which number makes no difference.
 
-The numbered rows are written once with ``checkpoint()`` (to the shared
-folder in ``spark.checkpoint.dir``) before the counts are taken.  Both the
-counts and the final join then read the same files: the partition bounds
-are sampled once, whatever the optimizer decides about reusing exchanges,
-and the rows are sorted once.
+The numbered rows are written once as Parquet to the shared folder in
+``spark.checkpoint.dir`` before the counts are taken.  Both the counts and
+the final join then read the same files: the partition bounds are sampled
+once, whatever the optimizer decides about reusing exchanges, and the rows
+are sorted once.  Select the columns you need first: only those are written.
 """
 
 from __future__ import annotations
@@ -29,7 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from relprep.session import checkpoint_dir
+from relprep.session import scratch_path
+from relprep.sources.sinks import materialize
 
 _POS_BITS = 33
 
@@ -46,14 +48,16 @@ def with_identity(
     ties = [c for c in df.columns if c not in order_by]
     order: list[Column] = [F.col(c).asc_nulls_first() for c in order_by + ties]
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order.append(F.col("_input"))
     ranged = (
-        df.repartitionByRange(n, *order)
+        df.withColumn("_input", F.monotonically_increasing_id())
+        .repartitionByRange(n, *order)
         .sortWithinPartitions(*order)
+        .drop("_input")
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_part").cast("long"), _POS_BITS))
     )
-    checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = materialize(ranged, scratch_path(df.sparkSession, "identity"))
     counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # One row per partition: a single-task window over at most n rows.
     offsets = counts.select(

@@ -30,9 +30,14 @@ def any_match(df: DataFrame, params: dict[str, Any], guard: Column | None = None
 
 
 def any_match_above_avg(df: DataFrame, params: dict[str, Any], value: str, order: list[str] | None = None) -> DataFrame:
-    """FLT-10 AND ``value`` above its average over ``df``, sorted (FLT-12)."""
+    """FLT-10 AND ``value`` above its average over ``df``, sorted (FLT-12).
+
+    All other columns follow as tie-breakers, so the order is total and a
+    value that many rows share spreads over several sort partitions.
+    """
     out = df.filter((F.col(value) > avg_of(df, value)) & any_equal(params))
-    return out.orderBy(*(order or [value]))
+    first = order or [value]
+    return out.orderBy(*first, *[c for c in df.columns if c not in first])
 
 
 def procedure(view: DataFrame, columns: list[str], guard: Column | None = None):

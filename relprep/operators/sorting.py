@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relprep.functions.text import shuffle_key
-from relprep.operators.joins import bounded_broadcast
+from relprep.operators.keys import with_identity
 
 
 def sort_report(df: DataFrame, *order: Column | str, unique: list[str]) -> DataFrame:
@@ -36,26 +36,24 @@ def top_n(df: DataFrame, n: int, *order: Column | str) -> DataFrame:
 def assign_top_n(
     df: DataFrame,
     n: int,
-    order: list[Column | str],
-    key: str,
+    order: list[str],
     column: str,
     first: Column | Any,
     rest: Column | Any,
 ) -> DataFrame:
     """UPDATE TOP(n) SET column = first; UPDATE SET column = rest WHERE column IS NULL (SRT-5, UPD-2).
 
-    The first n keys come from a top-n (bounded to n rows, so the
-    broadcast is size-checked by construction) and are joined back; no
-    key list is collected to the driver.
+    Rows are numbered in parallel by ``order`` (NULL first, as T-SQL sorts)
+    with all other columns as tie-breakers, and the number is compared with
+    n: exactly n rows are updated whatever keys repeat or are NULL, no row
+    is multiplied, and nothing is joined back by a key.
     """
     first_c = first if isinstance(first, Column) else F.lit(first)
     rest_c = rest if isinstance(rest, Column) else F.lit(rest)
-    # Column pruning reduces the top-n to the key and order columns.
-    hits = top_n(df, n, *order).select(key).withColumn("_top_hit", F.lit(True))
-    joined = df.join(bounded_broadcast(hits, n), key, "left")
+    numbered = with_identity(df, order, "_rank")
     current = F.col(column) if column in df.columns else F.lit(None)
-    updated = F.when(F.col("_top_hit"), first_c).otherwise(F.coalesce(current, rest_c))
-    return joined.withColumn(column, updated).drop("_top_hit")
+    updated = F.when(F.col("_rank") <= n, first_c).otherwise(F.coalesce(current, rest_c))
+    return numbered.withColumn(column, updated).drop("_rank")
 
 
 def keyed_shuffle(df: DataFrame, keys: list[str], salt: str, key_alias: str = "shuffle_key") -> DataFrame:

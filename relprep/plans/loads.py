@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relprep.fixed import DEFAULT_NOTES, DELIVERY_MAX_DAYS, NOTES_LENGTH
+from relprep.fixed import DEFAULT_NOTES, DELIVERY_MAX_DAYS, NOTES_LENGTH, ROUND_UP_ABOVE_CENTS
 from relprep.functions import money as M
-from relprep.functions.dates import completed_years, day_diff
+from relprep.functions.dates import completed_years, day_diff, now, today
 from relprep.functions.predicates import is_single_word, like, not_like, starts_with_digit
 from relprep.functions.text import concat_strict, nvarchar, tsql_substring
 from relprep.operators.aggregates import count_by
@@ -19,26 +19,30 @@ from relprep.operators.updates import add_column, week_bucket
 from relprep.plans import sqlfrag as S
 from relprep.plans.common import catalog, order_lines, orders_target, postcode
 from relprep.plans.registry import check
-from relprep.sources.sinks import with_defaults
-from relprep.sources.tables import PUBLISHER_LAYOUT, load
+from relprep.session import scratch_path
+from relprep.sources.sinks import append, append_positional, materialize
+from relprep.sources.tables import ORDERS_LAYOUT, PUBLISHER_LAYOUT, load
 
 # ---- SRC-2 / PRJ-1 / JOIN-1: typed load of orders with their client ---------
 
 SQL_ORDERS_TARGET = """
     SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date,
-           CAST(o_totalprice AS DECIMAL(18,4)) AS total_price, c_custkey AS client_id,
+           CAST(o_totalprice AS DECIMAL(19,4)) AS total_price, c_custkey AS client_id,
            c_name AS client_name, c_mktsegment AS client_segment
     FROM customer JOIN orders ON c_custkey = o_custkey"""
 
 
 @check("q_load_orders", SQL_ORDERS_TARGET, ("SRC-1", "SRC-2", "PRJ-1", "JOIN-1", "SNK-2"))
 def q_load_orders(spark: SparkSession, base: str) -> DataFrame:
-    return orders_target(spark, base)
+    """INSERT ... SELECT by position into the orders target, read back."""
+    path = scratch_path(spark, "orders")
+    append_positional(orders_target(spark, base), path, ORDERS_LAYOUT)
+    return spark.read.schema(ORDERS_LAYOUT).parquet(path)
 
 
 SQL_CATALOG = """
     SELECT p_partkey AS product_id, s_suppkey AS supplier_id, p_type AS unit,
-           CAST(p_retailprice AS DECIMAL(18,4)) AS unit_price, p_brand AS category,
+           CAST(p_retailprice AS DECIMAL(19,4)) AS unit_price, p_brand AS category,
            s_name AS supplier_name
     FROM (SELECT DISTINCT l_partkey, l_suppkey FROM lineitem) pairs
     JOIN part ON pairs.l_partkey = p_partkey
@@ -65,7 +69,7 @@ def _line_values(spark: SparkSession, base: str, discount: str) -> DataFrame:
 def _sql_line_values(discount: str) -> str:
     return f"""
     SELECT l_orderkey AS order_id, l_partkey AS product_id,
-           CAST({S.money('p_retailprice')} * CAST(l_quantity AS INTEGER) AS DECIMAL(18,4)) AS line_value
+           CAST({S.money('p_retailprice')} * CAST(l_quantity AS INTEGER) AS DECIMAL(19,4)) AS line_value
     FROM lineitem JOIN part ON l_partkey = p_partkey
     WHERE {S.money('l_discount')} = {discount}"""
 
@@ -85,7 +89,7 @@ def q_line_value_b(spark: SparkSession, base: str) -> DataFrame:
 SQL_INTEGRAL = f"""
     SELECT l_partkey AS product_id, p_brand AS category, {S.money('l_quantity')} AS unit_price,
            {S.money('l_extendedprice')} AS line_total,
-           CAST({S.money('l_extendedprice')} / {S.money('l_quantity')} AS DECIMAL(18,4)) AS quantity
+           CAST({S.money('l_extendedprice')} / {S.money('l_quantity')} AS DECIMAL(19,4)) AS quantity
     FROM lineitem JOIN part ON l_partkey = p_partkey
     WHERE {S.money('l_extendedprice')} % {S.money('l_quantity')} = 0"""
 
@@ -109,20 +113,25 @@ def q_integral_quantity(spark: SparkSession, base: str) -> DataFrame:
     return integral_view(spark, base)
 
 
+# Check parameter: the as-of date of defaults and years of service.
+ASOF = dt.date(2024, 6, 30)
+
 # ---- SNK-1 / PRJ-7: insert with a column list, defaults for omitted columns --
 
 
 @check(
     "q_insert_defaults",
     f"""SELECT CAST(c_custkey AS VARCHAR) AS publisher_id, c_name AS name,
-               '{DEFAULT_NOTES}' AS notes, current_date AS created, CAST(NULL AS DATE) AS modified
+               'Lorem ipsum' AS notes, DATE '2024-06-30' AS created, CAST(NULL AS DATE) AS modified
         FROM customer""",
-    ("SNK-1", "PRJ-7", "DAT-1"),
+    ("SNK-1", "PRJ-7"),
 )
 def q_insert_defaults(spark: SparkSession, base: str) -> DataFrame:
     c = load(spark, base, "customer")
     src = c.select(F.col("c_custkey").cast("string").alias("publisher_id"), F.col("c_name").alias("name"))
-    return with_defaults(src, PUBLISHER_LAYOUT, {"notes": DEFAULT_NOTES, "created": F.current_date()})
+    path = scratch_path(spark, "publishers")
+    append(src, path, PUBLISHER_LAYOUT, {"notes": DEFAULT_NOTES, "created": F.lit(ASOF)})
+    return spark.read.schema(PUBLISHER_LAYOUT).parquet(path)
 
 
 # ---- PRJ-4: add an empty nullable column ------------------------------------
@@ -141,10 +150,18 @@ def q_add_null_column(spark: SparkSession, base: str) -> DataFrame:
 # ---- PRJ-5 / DAT-1: NOT NULL column filled with the current timestamp -------
 
 
-@check("q_add_timestamp_column", None, ("PRJ-5", "DAT-1", "SNK-3"))
+@check(
+    "q_add_timestamp_column",
+    "SELECT o_orderkey, o_orderstatus, true AS has_timestamp, true AS same_day FROM orders",
+    ("PRJ-5", "DAT-1"),
+)
 def q_add_timestamp_column(spark: SparkSession, base: str) -> DataFrame:
+    """Every row gets the time of the statement; the clock's value itself is no result to compare."""
     o = load(spark, base, "orders").select("o_orderkey", "o_orderstatus")
-    return add_column(o, "modified_at", "timestamp", F.current_timestamp())
+    o = add_column(add_column(o, "modified_at", "timestamp", now()), "modified_on", "date", today())
+    filled = F.col("modified_at").isNotNull() & F.col("modified_on").isNotNull()
+    same = F.col("modified_at").cast("date") == F.col("modified_on")
+    return o.select("o_orderkey", "o_orderstatus", filled.alias("has_timestamp"), same.alias("same_day"))
 
 
 # ---- PRJ-6 / AGG-13: identity keys over distinct city names -----------------
@@ -159,19 +176,19 @@ def _cities(spark: SparkSession, base: str) -> DataFrame:
 @check(
     "q_identity",
     """SELECT city,
-              5 + 5 * (row_number() OVER (ORDER BY city) - 1) AS city_id_5_5,
-              1 + 2 * (row_number() OVER (ORDER BY city) - 1) AS city_id_1_2
+              5 + 5 * (row_number() OVER (ORDER BY city NULLS FIRST) - 1) AS city_id_5_5,
+              1 + 2 * (row_number() OVER (ORDER BY city NULLS FIRST) - 1) AS city_id_1_2
        FROM (SELECT DISTINCT n_name AS city FROM customer JOIN nation ON c_nationkey = n_nationkey)""",
     ("PRJ-6", "AGG-13"),
 )
 def q_identity(spark: SparkSession, base: str) -> DataFrame:
     keyed = with_identity(_cities(spark, base), ["city"], "city_id_5_5", seed=5, step=5)
-    return keyed.withColumn("city_id_1_2", F.lit(1) + F.lit(2) * ((F.col("city_id_5_5") - 5) / 5).cast("long"))
+    return keyed.withColumn("city_id_1_2", F.expr("1 + 2 * ((city_id_5_5 - 5) div 5)"))
 
 
 @check(
     "q_identity_orders",
-    """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS order_seq
+    """SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate NULLS FIRST, o_orderkey NULLS FIRST) AS order_seq
        FROM orders""",
     ("PRJ-6",),
 )
@@ -185,8 +202,8 @@ def q_identity_orders(spark: SparkSession, base: str) -> DataFrame:
 
 SQL_MONEY_PARTS = f"""
     SELECT l_orderkey AS order_id, o_custkey AS client_id,
-           CAST(floor({S.money('l_extendedprice')}) AS DECIMAL(18,4)) AS whole_part,
-           CAST(({S.money('l_extendedprice')} - floor({S.money('l_extendedprice')})) * 100 AS DECIMAL(18,4)) AS cents_part
+           CAST(floor({S.money('l_extendedprice')}) AS DECIMAL(19,4)) AS whole_part,
+           CAST(({S.money('l_extendedprice')} - floor({S.money('l_extendedprice')})) * 100 AS DECIMAL(19,4)) AS cents_part
     FROM orders JOIN lineitem ON o_orderkey = l_orderkey"""
 
 
@@ -209,18 +226,19 @@ def q_money_parts(spark: SparkSession, base: str) -> DataFrame:
 
 SQL_ROUND_UP = f"""
     SELECT order_id, client_id, whole_part, cents_part,
-           CAST(whole_part + 1 AS DECIMAL(18,4)) AS new_price
+           CAST(whole_part + 1 AS DECIMAL(19,4)) AS new_price
     FROM ({SQL_MONEY_PARTS}) WHERE cents_part > 49"""
 
 
 def round_up_view(spark: SparkSession, base: str) -> DataFrame:
     v = money_parts_view(spark, base)
-    return v.filter(F.col("cents_part") > 49).withColumn("new_price", M.rounded_up("whole_part", "cents_part"))
+    return v.filter(F.col("cents_part") > ROUND_UP_ABOVE_CENTS).withColumn("new_price", M.rounded_up("whole_part", "cents_part"))
 
 
 @check("q_ctas_round_up", SQL_ROUND_UP, ("PRJ-9", "SNK-3", "FLT-2"))
 def q_ctas_round_up(spark: SparkSession, base: str) -> DataFrame:
-    return round_up_view(spark, base)
+    """SELECT ... INTO: the rounded prices are written as a new table and read back."""
+    return materialize(round_up_view(spark, base), scratch_path(spark, "rounded-prices"))
 
 
 # ---- PRJ-10: floor price on import (with quantity and discount) --------------
@@ -229,7 +247,7 @@ def q_ctas_round_up(spark: SparkSession, base: str) -> DataFrame:
 @check(
     "q_floor_price",
     f"""SELECT l_orderkey AS order_id, l_partkey AS product_id,
-               CAST(floor({S.money('p_retailprice')}) AS DECIMAL(18,4)) AS product_price,
+               CAST(floor({S.money('p_retailprice')}) AS DECIMAL(19,4)) AS product_price,
                CAST(l_quantity AS INTEGER) AS quantity, {S.money('l_discount')} AS discount
         FROM lineitem JOIN part ON l_partkey = p_partkey""",
     ("PRJ-10", "MTH-3"),
@@ -340,11 +358,11 @@ def q_single_word(spark: SparkSession, base: str) -> DataFrame:
 @check(
     "q_star_filter",
     """SELECT c_name AS client_name, n_name AS city, p_name AS title,
-              CAST(l_extendedprice AS DECIMAL(18,4)) AS price, s_name AS publisher, o_orderpriority AS notes
+              CAST(l_extendedprice AS DECIMAL(19,4)) AS price, s_name AS publisher, o_orderpriority AS notes
        FROM lineitem JOIN orders ON l_orderkey = o_orderkey
        JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
        JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
-       WHERE l_extendedprice IS NOT NULL AND CAST(l_extendedprice AS DECIMAL(18,4)) > 10000
+       WHERE l_extendedprice IS NOT NULL AND CAST(l_extendedprice AS DECIMAL(19,4)) > 10000
          AND s_name LIKE '%1%' AND n_name = 'NATION_7'""",
     ("JOIN-5", "FLT-2", "FLT-6", "FLT-7", "FLT-9"),
 )
@@ -401,7 +419,7 @@ def q_four_way(spark: SparkSession, base: str) -> DataFrame:
 
 @check(
     "q_truncate_notes",
-    f"""SELECT doc_id, substr(text, 1, {NOTES_LENGTH}) AS notes_100, substr(text, 1, {NOTES_LENGTH - 1}) AS notes_0_100
+    f"""SELECT doc_id, substr(text, 1, 100) AS notes_100, substr(text, 1, 99) AS notes_0_100
         FROM documents""",
     ("STR-5", "STR-13"),
 )
@@ -422,7 +440,7 @@ SQL_DELIVERY = f"""
     FROM part JOIN lineitem ON p_partkey = l_partkey JOIN orders ON l_orderkey = o_orderkey
     JOIN supplier ON l_suppkey = s_suppkey JOIN customer ON o_custkey = c_custkey
     JOIN nation ON c_nationkey = n_nationkey
-    WHERE date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) <= {DELIVERY_MAX_DAYS}"""
+    WHERE date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)) <= 28"""
 
 
 def delivery_view(spark: SparkSession, base: str) -> DataFrame:
@@ -432,14 +450,16 @@ def delivery_view(spark: SparkSession, base: str) -> DataFrame:
     s = load(spark, base, "supplier")
     c = load(spark, base, "customer")
     n = load(spark, base, "nation")
+    p = load(spark, base, "part")
     # Orders are enriched with the client's city first (an orders-sized
     # join); the fact table is then joined once, on the order key, instead
     # of re-shuffling the fact-sized join output by client key.
     orders_city = o.join(c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
     j = li.join(orders_city, li.l_orderkey == o.o_orderkey).join(s, li.l_suppkey == s.s_suppkey)
+    j = j.join(p, li.l_partkey == p.p_partkey)  # a line of an unknown product is no row of the view
     days = day_diff("o_orderdate", "l_shipdate")
     return j.filter(days <= DELIVERY_MAX_DAYS).select(
-        F.col("l_partkey").alias("product_id"), F.col("s_name").alias("supplier_name"),
+        F.col("p_partkey").alias("product_id"), F.col("s_name").alias("supplier_name"),
         F.col("n_name").alias("ship_city"), days.alias("days_to_ship"),
     )
 
@@ -462,9 +482,6 @@ def q_week_bucket(spark: SparkSession, base: str) -> DataFrame:
 
 
 # ---- DAT-4: completed years since a date at a fixed as-of date -------------------
-# Check parameter: the as-of date for years of service.
-ASOF = dt.date(2024, 6, 30)
-
 
 @check(
     "q_years_since",
@@ -496,23 +513,22 @@ def q_years_since(spark: SparkSession, base: str) -> DataFrame:
     ("JOIN-4", "AGG-4"),
 )
 def q_shared_key_join(spark: SparkSession, base: str) -> DataFrame:
-    """Client, its orders, and two per-client aggregates, all joined on the
-    client key: every input is partitioned by that key once and the three
-    joins reuse the same partitioning (no re-shuffle between joins)."""
+    """Client, its orders, and two per-client aggregates, joined on the client
+    key.  The aggregates meet the client first (one row a client on every
+    side), and the orders are joined last, once: a client with a third of
+    all orders is one row against many, which adaptive execution splits."""
     c = load(spark, base, "customer").select("c_custkey", "c_name")
     o = load(spark, base, "orders")
     li = load(spark, base, "lineitem")
     orders_per = o.groupBy(F.col("o_custkey").alias("k1")).agg(F.count(F.lit(1)).alias("n_orders"))
+    lines_of = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_n"))
     lines_per = (
-        o.join(li, o.o_orderkey == li.l_orderkey)
+        o.join(lines_of, o.o_orderkey == lines_of.l_orderkey)
         .groupBy(F.col("o_custkey").alias("k2"))
-        .agg(F.count(F.lit(1)).alias("n_lines"))
-    )
-    j = (
-        c.join(o.select("o_custkey", "o_orderkey"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(orders_per, F.col("k1") == F.col("c_custkey"))
-        .join(lines_per, F.col("k2") == F.col("c_custkey"))
+        .agg(F.sum("_n").alias("n_lines"))
     )
+    clients = c.join(orders_per, F.col("k1") == F.col("c_custkey")).join(lines_per, F.col("k2") == F.col("c_custkey"))
+    j = o.select("o_custkey", "o_orderkey").join(clients, F.col("o_custkey") == F.col("c_custkey"))
     return j.select("c_custkey", "c_name", "o_orderkey", "n_orders", "n_lines")
 
 

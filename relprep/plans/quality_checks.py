@@ -16,7 +16,8 @@ from relprep.operators.quality import (
 )
 from relprep.plans import sqlfrag as S
 from relprep.plans.common import catalog, orders_target
-from relprep.plans.loads import DEFAULT_NOTES
+from relprep.fixed import DEFAULT_NOTES
+from relprep.plans.loads import ASOF
 from relprep.plans.registry import check
 from relprep.sources.sinks import with_defaults
 from relprep.sources.tables import CATALOG_LENGTHS, ORDERS_LENGTHS, PUBLISHER_LAYOUT, PUBLISHER_LENGTHS, load
@@ -24,13 +25,15 @@ from relprep.sources.tables import CATALOG_LENGTHS, ORDERS_LENGTHS, PUBLISHER_LA
 
 @check(
     "q_dq_pk",
-    """SELECT o_orderkey, COUNT(*) AS n_rows,
-              CASE WHEN o_orderkey IS NULL THEN 'null_key' ELSE 'duplicate' END AS reason
-       FROM orders GROUP BY o_orderkey HAVING COUNT(*) > 1 OR o_orderkey IS NULL""",
+    """SELECT k AS account, COUNT(*) AS n_rows, CASE WHEN k IS NULL THEN 'null_key' ELSE 'duplicate' END AS reason
+       FROM (SELECT CASE WHEN c_acctbal >= 0 THEN CAST(floor(c_acctbal) AS BIGINT) END AS k FROM customer)
+       GROUP BY k HAVING COUNT(*) > 1 OR k IS NULL""",
     ("DQ-1",),
 )
 def q_dq_pk(spark: SparkSession, base: str) -> DataFrame:
-    return pk_violations(load(spark, base, "orders"), ["o_orderkey"])
+    """A key that is mostly unique, sometimes repeated and sometimes NULL: the whole balance."""
+    account = F.when(F.col("c_acctbal") >= 0, F.floor("c_acctbal").cast("long"))
+    return pk_violations(load(spark, base, "customer").select(account.alias("account")), ["account"])
 
 
 @check(
@@ -92,13 +95,23 @@ _ORDERS_SOURCE = """SELECT c_name AS client_name, c_mktsegment AS client_segment
                     FROM customer JOIN orders ON c_custkey = o_custkey"""
 
 
-@check("q_dq_profile", _sql_profile(ORDERS_LENGTHS, _ORDERS_SOURCE), ("DQ-5", "DQ-6"))
+@check(
+    "q_dq_profile",
+    _sql_profile(ORDERS_LENGTHS, _ORDERS_SOURCE)
+    + """ UNION ALL SELECT 'ship_date' AS "column", CAST(NULL AS BIGINT) AS max_len,
+          COUNT(*) FILTER (WHERE CASE WHEN o_orderstatus <> 'O' THEN o_orderdate END IS NULL) AS n_null, CAST(NULL AS BIGINT) AS n_too_long
+          FROM customer JOIN orders ON c_custkey = o_custkey""",
+    ("DQ-5", "DQ-6"),
+)
 def q_dq_profile(spark: SparkSession, base: str) -> DataFrame:
-    return profile(orders_target(spark, base), ORDERS_LENGTHS)
+    """Length limits of the loaded orders, and NOT NULL on a date that open orders lack."""
+    o = load(spark, base, "orders").select(F.col("o_orderkey").alias("order_id"), F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate")).alias("ship_date"))
+    loaded = orders_target(spark, base).join(o, "order_id")
+    return profile(loaded, ORDERS_LENGTHS, not_null=["ship_date"])
 
 
 _PUBLISHER_SOURCE = f"""SELECT CAST(c_custkey AS VARCHAR) AS publisher_id, c_name AS name,
-                              '{DEFAULT_NOTES}' AS notes FROM customer"""
+                              'Lorem ipsum' AS notes FROM customer"""
 
 
 @check("q_dq_publisher_profile", _sql_profile(PUBLISHER_LENGTHS, _PUBLISHER_SOURCE), ("DQ-5", "DQ-6", "PRJ-7"))
@@ -107,7 +120,7 @@ def q_dq_publisher_profile(spark: SparkSession, base: str) -> DataFrame:
     numeric keys longer than 4 characters would not fit publisher_id."""
     c = load(spark, base, "customer")
     src = c.select(F.col("c_custkey").cast("string").alias("publisher_id"), F.col("c_name").alias("name"))
-    loaded = with_defaults(src, PUBLISHER_LAYOUT, {"notes": DEFAULT_NOTES, "created": F.current_date()})
+    loaded = with_defaults(src, PUBLISHER_LAYOUT, {"notes": DEFAULT_NOTES, "created": F.lit(ASOF)})
     return profile(loaded, PUBLISHER_LENGTHS)
 
 
@@ -123,12 +136,12 @@ def q_dq_catalog_profile(spark: SparkSession, base: str) -> DataFrame:
 
 @check(
     "q_dq_length",
-    f"""SELECT c_custkey, c_name FROM customer WHERE {S.tsql_len('c_name')} > 15""",
+    f"""SELECT p_partkey, p_type FROM part WHERE {S.tsql_len('p_type')} > 6""",
     ("DQ-6",),
 )
 def q_dq_length(spark: SparkSession, base: str) -> DataFrame:
-    c = load(spark, base, "customer").select("c_custkey", "c_name")
-    return length_violations(c, {"c_name": 15})
+    p = load(spark, base, "part").select("p_partkey", "p_type")
+    return length_violations(p, {"p_type": 6})
 
 
 @check(

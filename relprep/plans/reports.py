@@ -12,6 +12,7 @@ from relprep.functions.dates import year_diff
 from relprep.functions.text import tsql_len
 from relprep.operators.aggregates import above_average, count_by, int_avg, scalar, sum_by
 from relprep.operators.joins import lookup_key
+from relprep.operators.keys import with_identity
 from relprep.operators.search import any_match_above_avg
 from relprep.operators.sorting import assign_top_n, keyed_shuffle, sort_report, top_n
 from relprep.plans import sqlfrag as S
@@ -30,7 +31,7 @@ def order_totals(spark: SparkSession, base: str) -> DataFrame:
 
 SQL_ORDER_TOTALS = """
     SELECT l_orderkey AS order_id,
-           CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS total
+           CAST(SUM(CAST(l_extendedprice AS DECIMAL(19,4))) AS DECIMAL(38,4)) AS total
     FROM lineitem GROUP BY l_orderkey"""
 
 
@@ -226,9 +227,7 @@ def q_sales_having(spark: SparkSession, base: str) -> DataFrame:
     # the unit price is a part attribute: aggregate the order lines per part
     # first, join the (much smaller) result to part, then group by name.
     lines = order_lines(spark, base)
-    per_part = lines.groupBy("product_id").agg(
-        F.sum(F.col("quantity") * (F.lit(1).cast(M.MONEY) - F.col("discount"))).alias("units")
-    )
+    per_part = lines.groupBy("product_id").agg(M.discounted_units("quantity", "discount").alias("units"))
     p = load(spark, base, "part")
     j = per_part.join(p, per_part.product_id == p.p_partkey)
     sales = F.sum(M.money("p_retailprice") * F.col("units"))
@@ -257,12 +256,15 @@ def client_product_sums(spark: SparkSession, base: str) -> DataFrame:
     o = load(spark, base, "orders")
     c = load(spark, base, "customer")
     p = load(spark, base, "part")
-    # Orders get their client first (orders-sized join), so the fact side is
-    # joined on the order key once rather than re-shuffled by client key.
-    orders_client = o.join(c, o.o_custkey == c.c_custkey)
-    j = above.join(orders_client, above.order_id == o.o_orderkey).join(p, above.product_id == p.p_partkey)
-    return j.groupBy(F.col("c_name").alias("client_name"), F.col("p_name").alias("product_name")).agg(
-        F.sum("line_total").cast(M.MONEY_SUM).alias("price_sum")
+    # Lines are summed per order and product, then per client and product,
+    # by keys alone; names join one row for each pair and are regrouped.
+    per_order = above.groupBy("order_id", "product_id").agg(F.sum("line_total").cast(M.MONEY_SUM).alias("_sum"))
+    by_key = per_order.join(o.select("o_orderkey", "o_custkey"), per_order.order_id == F.col("o_orderkey"))
+    by_key = by_key.groupBy("o_custkey", "product_id").agg(F.sum("_sum").cast(M.MONEY_SUM).alias("_sum"))
+    named = by_key.join(p.select("p_partkey", "p_name"), F.col("product_id") == F.col("p_partkey"))
+    named = named.join(c.select("c_custkey", "c_name"), F.col("o_custkey") == F.col("c_custkey"))
+    return named.groupBy(F.col("c_name").alias("client_name"), F.col("p_name").alias("product_name")).agg(
+        F.sum("_sum").cast(M.MONEY_SUM).alias("price_sum")
     )
 
 
@@ -327,7 +329,7 @@ FIRST_CITY, REST_CITY = "NATION_3", "NATION_7"
 
 @check(
     "q_top_n",
-    f"SELECT c_custkey, c_name, c_nationkey FROM customer ORDER BY c_custkey LIMIT {TOP_N}",
+    f"SELECT c_custkey, c_name, c_nationkey FROM customer ORDER BY c_custkey LIMIT 10",
     ("SRT-4",),
 )
 def q_top_n(spark: SparkSession, base: str) -> DataFrame:
@@ -337,7 +339,7 @@ def q_top_n(spark: SparkSession, base: str) -> DataFrame:
 
 @check(
     "q_assign_top_n",
-    f"""WITH top AS (SELECT c_custkey AS k FROM customer ORDER BY c_custkey LIMIT {TOP_N})
+    f"""WITH top AS (SELECT c_custkey AS k FROM customer ORDER BY c_custkey LIMIT 10)
         SELECT c_custkey, c_name,
                CASE WHEN top.k IS NOT NULL THEN (SELECT n_nationkey FROM nation WHERE n_name = '{FIRST_CITY}')
                     ELSE (SELECT n_nationkey FROM nation WHERE n_name = '{REST_CITY}') END AS city_id
@@ -349,7 +351,7 @@ def q_assign_top_n(spark: SparkSession, base: str) -> DataFrame:
     n = load(spark, base, "nation")
     first = lookup_key(n, "n_name", FIRST_CITY, "n_nationkey")
     rest = lookup_key(n, "n_name", REST_CITY, "n_nationkey")
-    out = assign_top_n(c, TOP_N, ["c_custkey"], "c_custkey", "city_id", first, rest)
+    out = assign_top_n(c, TOP_N, ["c_custkey"], "city_id", first, rest)
     return out.select("c_custkey", "c_name", "city_id")
 
 
@@ -360,10 +362,12 @@ SHUFFLE_SALT = "load-order"
 
 @check(
     "q_random_order",
-    f"""SELECT c_custkey, c_name, {S.shuffle_key('c_custkey', salt=SHUFFLE_SALT)} AS shuffle_key
-        FROM customer ORDER BY shuffle_key""",
+    f"""SELECT c_custkey, c_name, shuffle_key, row_number() OVER (ORDER BY shuffle_key) AS position
+        FROM (SELECT c_custkey, c_name, {S.shuffle_key('c_custkey', salt=SHUFFLE_SALT)} AS shuffle_key FROM customer)
+        ORDER BY shuffle_key""",
     ("SRT-3",),
 )
 def q_random_order(spark: SparkSession, base: str) -> DataFrame:
     c = load(spark, base, "customer").select("c_custkey", "c_name")
-    return keyed_shuffle(c, ["c_custkey"], SHUFFLE_SALT)
+    shuffled = keyed_shuffle(c, ["c_custkey"], SHUFFLE_SALT)
+    return with_identity(shuffled, ["shuffle_key"], "position").orderBy("position")

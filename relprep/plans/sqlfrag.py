@@ -2,17 +2,13 @@
 
 from __future__ import annotations
 
-from relprep.fixed import WEEK_LABELS
-
-
 def money(expr: str) -> str:
-    return f"CAST({expr} AS DECIMAL(18,4))"
+    return f"CAST({expr} AS DECIMAL(19,4))"
 
 
 def guid(*keys: str, salt: str) -> str:
     """Same value as ``functions.text.keyed_guid`` in DuckDB SQL."""
-    parts = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
-    h = f"upper(md5(concat_ws('|', {parts}, '{salt}')))"
+    h = f"upper({shuffle_key(*keys, salt=salt)})"
     return (
         f"(substr({h}, 1, 8) || '-' || substr({h}, 9, 4) || '-' || substr({h}, 13, 4)"
         f" || '-' || substr({h}, 17, 4) || '-' || substr({h}, 21, 12))"
@@ -28,8 +24,8 @@ def password(*keys: str, salt: str, length: int = 16) -> str:
 
 
 def shuffle_key(*keys: str, salt: str) -> str:
-    parts = ", ".join(f"CAST({k} AS VARCHAR)" for k in keys)
-    return f"md5(concat_ws('|', {parts}, '{salt}'))"
+    parts = [f"coalesce(length(CAST({k} AS VARCHAR)) || ':' || CAST({k} AS VARCHAR), '-') || '|'" for k in keys]
+    return f"md5({' || '.join(parts)} || '{salt}')"
 
 
 def tsql_len(expr: str) -> str:
@@ -42,22 +38,16 @@ def postcode(key: str) -> str:
 
 def week_case(days: str) -> str:
     """CASE expression labelling a day count with its delivery week."""
-    (first, label), rest = WEEK_LABELS[0], WEEK_LABELS[1:]
-    parts = [f"WHEN {days} <= {first} THEN '{label}'"]
-    lower = first + 1
-    for upper, lab in rest:
-        parts.append(f"WHEN {days} BETWEEN {lower} AND {upper} THEN '{lab}'")
-        lower = upper + 1
-    return "CASE " + " ".join(parts) + " END"
+    return (
+        f"CASE WHEN {days} <= 7 THEN 'Prva' WHEN {days} BETWEEN 8 AND 14 THEN 'Druga' "
+        f"WHEN {days} BETWEEN 15 AND 21 THEN 'Treca' WHEN {days} BETWEEN 22 AND 28 THEN 'Cetvrta' END"
+    )
 
 
-def fill_from_key_case(column: str, key: str, rules: list[tuple[list[str], int]]) -> str:
+def fill_from_key_case(column: str, key: str) -> str:
     """CASE filling NULL ``column`` from the last digits of ``key`` by its first digit."""
-    parts = []
-    for digits, n in rules:
-        listed = ", ".join(f"'{d}'" for d in digits)
-        parts.append(
-            f"WHEN {column} IS NULL AND left(CAST({key} AS VARCHAR), 1) IN ({listed}) "
-            f"THEN CAST(right(CAST({key} AS VARCHAR), {n}) AS BIGINT)"
-        )
-    return "CASE " + " ".join(parts) + f" ELSE {column} END"
+    return (
+        f"CASE WHEN {column} IS NULL AND left(CAST({key} AS VARCHAR), 1) IN ('4', '5') THEN CAST(right(CAST({key} AS VARCHAR), 3) AS BIGINT) "
+        f"WHEN {column} IS NULL AND left(CAST({key} AS VARCHAR), 1) IN ('6', '7') THEN CAST(right(CAST({key} AS VARCHAR), 4) AS BIGINT) "
+        f"ELSE {column} END"
+    )

@@ -33,9 +33,7 @@ from relprep.session import scratch_path
 from relprep.sources.sinks import (
     append,
     append_positional,
-    co_locatable,
     materialize,
-    materialize_bucketed,
     with_defaults,
 )
 from relprep.sources.tables import load
@@ -71,22 +69,13 @@ def _ship_dates(spark: SparkSession, base: str) -> DataFrame:
     return li.groupBy("l_orderkey").agg(F.max("l_shipdate").alias("_ship"))
 
 
-# Bucket count of the co-located order tables; on a cluster, size it so a
-# bucket holds ~128-256 MB of the larger table.
-ORDER_BUCKETS = 8
-
-
 def load_order_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     """INSERT ... SELECT into the three target tables; returns them re-read.
 
-    ``orders`` and ``order_products`` are written bucketed on ``order_id``
-    with the same bucket count, so the view's join on ``order_id`` reads
-    co-located buckets instead of shuffling both tables -- unless one order
-    holds more than a bucket's fair share of the lines (see
-    ``sinks.co_locatable``).
+    Plain tables: the view's join on ``order_id`` is shuffled, its task
+    count follows the data, and adaptive execution splits a hot order.
     """
     root = scratch_path(spark, "orders-db")
-    tag = root.rsplit("-", 1)[-1][:12]
     p = load(spark, base, "part")
     append_positional(
         p.select("p_partkey", "p_retailprice", "p_brand", "p_type"), f"{root}/products", PRODUCT_LAYOUT
@@ -94,7 +83,7 @@ def load_order_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
     o = load(spark, base, "orders")
     c = load(spark, base, "customer")
     n = load(spark, base, "nation")
-    j = o.join(_ship_dates(spark, base), o.o_orderkey == F.col("l_orderkey")).join(
+    j = o.join(_ship_dates(spark, base), o.o_orderkey == F.col("l_orderkey"), "left").join(
         c, o.o_custkey == c.c_custkey).join(n, c.c_nationkey == n.n_nationkey)
     loaded = with_defaults(
         j.select(
@@ -112,23 +101,8 @@ def load_order_tables(spark: SparkSession, base: str) -> dict[str, DataFrame]:
         F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id"),
         M.line_value("p_retailprice", "l_quantity").alias("line_value"),
     )
-    orders = order_products = None
-    if co_locatable(lines, ["order_id"], ORDER_BUCKETS):
-        try:
-            orders = materialize_bucketed(loaded, f"orders_{tag}", f"{root}/orders_b", ["order_id"], ORDER_BUCKETS)
-            order_products = materialize_bucketed(
-                lines, f"order_products_{tag}", f"{root}/order_products_b", ["order_id"], ORDER_BUCKETS
-            )
-        except Exception:  # noqa: BLE001 - any catalog/warehouse failure
-            # Co-location is an optimization: without a usable session
-            # catalog (e.g. an unwritable warehouse folder), fall back to
-            # plain tables at fresh paths; results are the same.
-            orders = order_products = None
-    if orders is None or order_products is None:
-        # Plain tables (also when a hot order would pin one bucket to one
-        # task): shuffled join, and adaptive skew handling splits the hot key.
-        orders = materialize(loaded, f"{root}/orders")
-        order_products = materialize(lines, f"{root}/order_products")
+    orders = materialize(loaded, f"{root}/orders")
+    order_products = materialize(lines, f"{root}/order_products")
     products = spark.read.schema(PRODUCT_LAYOUT).parquet(f"{root}/products")
     return {"products": products, "orders": orders, "order_products": order_products}
 
@@ -152,13 +126,13 @@ def delivery_weeks(spark: SparkSession, base: str) -> DataFrame:
     f"""WITH ships AS (SELECT l_orderkey, max(l_shipdate) AS ship FROM lineitem GROUP BY l_orderkey),
         od AS (SELECT o_orderkey AS order_id, CAST(o_orderdate AS DATE) AS order_date,
                       CASE WHEN o_orderstatus <> 'O' THEN CAST(ship AS DATE) END AS ship_date
-               FROM orders JOIN ships ON o_orderkey = l_orderkey
+               FROM orders LEFT JOIN ships ON o_orderkey = l_orderkey
                JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey),
         op AS (SELECT l_orderkey AS order_id, l_partkey AS product_id FROM lineitem JOIN part ON l_partkey = p_partkey
                WHERE {S.money('l_discount')} = {LOADED_DISCOUNT}),
         v AS (SELECT date_diff('day', order_date, ship_date) AS d
               FROM part JOIN op ON p_partkey = op.product_id JOIN od ON op.order_id = od.order_id
-              WHERE date_diff('day', order_date, ship_date) <= {DELIVERY_MAX_DAYS})
+              WHERE date_diff('day', order_date, ship_date) <= 28)
         SELECT week, COUNT(week) AS n_lines FROM (
           SELECT {S.week_case('d')} AS week
           FROM v) GROUP BY week""",
@@ -209,11 +183,11 @@ _SQL_CARD_ORDERS = f"""
                CAST(CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS BIGINT) AS store_id
         FROM orders JOIN customer ON o_custkey = c_custkey),
     filled AS (
-        SELECT order_id, COALESCE(order_no, {S.token('order_id', salt=SALT_ORDER_NO, length=ORDER_NO_TOKEN_LENGTH)}) AS order_no,
-               {S.fill_from_key_case('store_id', 'order_id', STORE_FILL_RULES)} AS store_id
+        SELECT order_id, COALESCE(order_no, {S.token('order_id', salt=SALT_ORDER_NO, length=25)}) AS order_no,
+               {S.fill_from_key_case('store_id', 'order_id')} AS store_id
         FROM loaded)
     SELECT order_id,
-           CASE WHEN {S.tsql_len('order_no')} < {TRIM_BELOW} THEN substr(order_no, {TRIM_START}, {TRIM_LENGTH})
+           CASE WHEN {S.tsql_len('order_no')} < 25 THEN substr(order_no, 3, 22)
                 ELSE order_no END AS order_no,
            store_id
     FROM filled"""
@@ -227,7 +201,7 @@ def q_order_numbers_staged(spark: SparkSession, base: str) -> DataFrame:
 @check(
     "q_order_number_lengths_staged",
     f"""WITH h AS (SELECT {S.tsql_len('order_no')} AS no_len, COUNT({S.tsql_len('order_no')}) AS n_orders
-                   FROM ({_SQL_CARD_ORDERS}) WHERE {S.tsql_len('order_no')} < {TRIM_BELOW}
+                   FROM ({_SQL_CARD_ORDERS}) WHERE {S.tsql_len('order_no')} < 25
                    GROUP BY {S.tsql_len('order_no')})
         SELECT no_len, n_orders FROM h WHERE n_orders > (SELECT SUM(n_orders) // COUNT(n_orders) FROM h)""",
     ("AGG-3", "AGG-6", "AGG-8", "FLT-15", "SNK-3"),

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from relprep.fixed import MASK_FIRST_DIGITS, STORE_FILL_RULES
 from relprep.operators.updates import fill_from_key, mask_by_prefix
 from relprep.plans.registry import CHECKS, check
 from relprep.plans.rules import SALT_MASK
@@ -18,7 +19,7 @@ def q_mask_by_prefix_stream(spark: SparkSession, base: str) -> DataFrame:
 
     def steps(df: DataFrame) -> DataFrame:
         o = df.select("o_orderkey", F.col("o_orderpriority").alias("order_no"))
-        return mask_by_prefix(o, "order_no", ["1", "3"], "o_orderkey", SALT_MASK)
+        return mask_by_prefix(o, "order_no", MASK_FIRST_DIGITS, "o_orderkey", SALT_MASK)
 
     return run_to_table(table_stream(spark, base, "orders"), steps)
 
@@ -31,6 +32,6 @@ def q_fill_from_key_stream(spark: SparkSession, base: str) -> DataFrame:
     def steps(df: DataFrame) -> DataFrame:
         j = df.join(customer, df.o_custkey == customer.c_custkey)
         o = j.select("o_orderkey", F.when(F.col("c_acctbal") >= 0, F.col("c_nationkey").cast("long")).alias("store_id"))
-        return fill_from_key(o, "store_id", "o_orderkey", [(["4", "5"], 3), (["6", "7"], 4)])
+        return fill_from_key(o, "store_id", "o_orderkey", STORE_FILL_RULES)
 
     return run_to_table(table_stream(spark, base, "orders"), steps)

@@ -29,30 +29,6 @@ SCALE_CONF = {
 }
 
 
-# Settings for a large cluster (~100 TB input, ~1000 executors), applied by
-# the platform or with ``apply_conf``.  The initial shuffle partition count
-# is high and AQE coalesces it down to ~256 MB partitions; file splits of
-# 256 MB keep scan tasks in the tens of thousands; a partition is "skewed"
-# above 5x the median and 512 MB, and is then split.
-CLUSTER_CONF = {
-    **SCALE_CONF,
-    "spark.sql.shuffle.partitions": "20000",
-    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
-    "spark.sql.files.maxPartitionBytes": "256m",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
-    "spark.sql.autoBroadcastJoinThreshold": "64m",
-}
-
-
-def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
-    """Set the runtime-settable SQL options of ``conf`` on a running session."""
-    for k, v in conf.items():
-        if k.startswith("spark.sql."):
-            spark.conf.set(k, v)
-
-
 def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,

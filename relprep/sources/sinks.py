@@ -93,24 +93,3 @@ def materialize_bucketed(df: DataFrame, name: str, path: str, keys: list[str], b
     )
     return df.sparkSession.table(name)
 
-
-def hottest_key_share(df: DataFrame, keys: list[str]) -> float:
-    """Fraction of all rows held by the most frequent key (one aggregate job).
-
-    Reads only the key columns; rows are counted per key with partial
-    aggregation, and only one (max, total) pair reaches the driver.
-    """
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top, total = per_key.agg(F.max("_n"), F.sum("_n")).first()
-    return float(top) / float(total) if total else 0.0
-
-
-def co_locatable(df: DataFrame, keys: list[str], buckets: int) -> bool:
-    """True when bucketing ``df`` on ``keys`` keeps every bucket near a fair share.
-
-    A bucketed join reads buckets directly, with no shuffle stage, so
-    adaptive execution cannot split a hot key there.  If one key alone
-    exceeds a fair bucket (1/buckets of the rows), write without buckets
-    and let the shuffled join's skew handling split it instead.
-    """
-    return hottest_key_share(df, keys) <= 1.0 / buckets

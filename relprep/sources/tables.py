@@ -30,25 +30,13 @@ def table_path(base: str, name: str) -> str:
     return f"{str(base).rstrip('/')}/{name}.parquet"
 
 
-# Schemas of tables already read in this process, by path.  Without a
-# schema, every ``spark.read.parquet`` runs a footer-reading job to infer
-# it; a catalog would hold the schema, and this map plays that role for
-# path-addressed tables.
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def load(spark: SparkSession, base: str, name: str) -> DataFrame:
     """Read one source table (SRC-1).  ``base`` may be a local or remote URI.
 
-    The schema is inferred on the first read of a path and supplied
-    explicitly afterwards, so repeated loads plan without a Spark job.
+    The schema comes from the files on every call, so a table that was
+    rewritten with other columns is read as it is now.
     """
-    path = table_path(base, name)
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        schema = spark.read.parquet(path).schema
-        _SCHEMAS[path] = schema
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.parquet(table_path(base, name))
 
 
 def load_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:

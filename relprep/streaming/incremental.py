@@ -26,17 +26,19 @@ from relprep.sources.tables import load
 
 
 def table_stream(spark: SparkSession, base: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """A file stream over one driver table (``<base>/<name>*.parquet``).
+    """A file stream over exactly one driver table (``<base>/<name>.parquet``).
 
     The schema is taken from the current files (metadata only) and fixed
-    for the stream, as file streams require.
+    for the stream, as file streams require.  A stream reads a folder or a
+    pattern; the one-letter class makes a pattern that only this name fits,
+    whether the table is one file or a folder of files.
     """
     base = str(base)
     schema = load(spark, base, name).schema
     reader = spark.readStream.schema(schema).option("basePath", base)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(f"{base.rstrip('/')}/{name}*.parquet")
+    return reader.parquet(f"{base.rstrip('/')}/{name}.parque[t]")
 
 
 def load_incrementally(

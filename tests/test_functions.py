@@ -53,10 +53,32 @@ def test_round_half_up(spark):
     assert [r.r for r in out] == [Decimal("2.3500"), Decimal("2.3600")]
 
 
-def test_discounted_sales_exact(spark):
-    df = spark.createDataFrame([(900.10, 3.0, 0.05)], "p double, q double, d double")
-    (r,) = df.select(M.discounted_sales("p", "q", "d").alias("s")).collect()
-    assert r.s == Decimal("2565.285")
+def test_discounted_sales_keep_eight_decimals(spark):
+    # AGG-11: 900.1001 x 3 x (1 - 0.0503) = 2564.4751949... needs all eight decimals.
+    df = spark.createDataFrame([(900.1001, 3.0, 0.0503)], "p double, q double, d double")
+    (r,) = df.agg(M.discounted_units("q", "d").alias("u"), F.first("p").alias("p")).select((M.money("p") * F.col("u")).alias("s")).collect()
+    assert r.s == Decimal("900.1001") * 3 * Decimal("0.9497")
+    assert -r.s.as_tuple().exponent == 8
+
+
+def test_money_holds_the_whole_range(spark):
+    top = Decimal("922337203685477.5807")
+    df = spark.createDataFrame([(top,), (-top,), (Decimal("900000000000000.0001"),)], "x decimal(30,4)")
+    assert [r[0] for r in df.select(M.money("x")).collect()] == [top, -top, Decimal("900000000000000.0001")]
+    assert [r[0] for r in df.select(M.is_integral_quotient("x", F.lit("0.0001"))).collect()] == [True] * 3
+
+
+def test_keys_do_not_share_tokens(spark):
+    # NULL, empty and joined keys are all told apart.
+    pairs = [(None, "a"), ("a", None), ("", "a"), ("a|b", "c"), ("a", "b|c"), ("-", "a"), ("1:a", None)]
+    df = spark.createDataFrame(pairs, "x string, y string")
+    assert len({r[0] for r in df.select(T.keyed_guid("x", "y", salt="s")).collect()}) == len(pairs)
+
+
+def test_sheet_text_options(spark):
+    df = spark.createDataFrame([("12345678", "ab==", "1 (05) 7-7"), (None, None, None)], "a string, b string, c string")
+    got = df.select(T.without_first("a", 4), T.without_trailing("b", "="), T.digits_only("c")).collect()
+    assert [tuple(r) for r in got] == [("5678", "ab", "10577"), (None, None, None)]
 
 
 def test_phone_has_area_code(spark):
@@ -165,7 +187,7 @@ def test_integral_quotient_edges(spark):
         (Decimal("10.0001"), Decimal("5.0000")),  # not integral by 1/10000
         (Decimal("7.5000"), Decimal("-2.5000")),  # -3 exactly
     ]
-    df = spark.createDataFrame(rows, "n decimal(18,4), d decimal(18,4)")
+    df = spark.createDataFrame(rows, "n decimal(19,4), d decimal(19,4)")
     got = [r[0] for r in df.select(M.is_integral_quotient("n", "d")).collect()]
     ref = [r[0] for r in df.select((F.col("n") % F.col("d")) == 0).collect()]
     assert got == ref == [True, True, False, True]

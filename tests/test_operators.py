@@ -135,10 +135,44 @@ def test_top_n_plan_is_take_ordered(spark):
 
 
 def test_assign_top_n(spark):
-    df = spark.createDataFrame([(i, f"n{i}") for i in range(20)], "k int, name string")
-    out = SO.assign_top_n(df, 5, ["k"], "k", "city", 100, 200)
-    got = dict((r.k, r.city) for r in out.collect())
-    assert [got[i] for i in range(20)] == [100] * 5 + [200] * 15
+    df = spark.createDataFrame([(i, None if i % 2 else 9) for i in range(1, 21)], "k long, city long")
+    got = {r.k: r.city for r in SO.assign_top_n(df, 3, ["k"], "city", 100, 200).collect()}
+    assert got == {k: 100 if k <= 3 else (200 if k % 2 else 9) for k in range(1, 21)}
+
+
+def test_assign_top_n_with_repeated_and_null_keys(spark):
+    # SRT-5: exactly n rows change and no row is lost or multiplied.
+    keys = [2, 2, 2, 1, None, None, 3, 3]
+    df = spark.createDataFrame([(k, None) for k in keys], "k long, city long")
+    for n in range(len(keys) + 2):
+        got = SO.assign_top_n(df, n, ["k"], "city", 100, 200).collect()
+        assert sorted((r.k is not None, r.k or 0) for r in got) == sorted((k is not None, k or 0) for k in keys)
+        assert sum(r.city == 100 for r in got) == min(n, len(keys))
+    two = SO.assign_top_n(df, 2, ["k"], "city", 100, 200).collect()
+    assert [r.k for r in two if r.city == 100] == [None, None]  # NULL sorts first
+
+
+def test_reports_come_in_order(spark):
+    # SRT-1, SRT-2: collected order, ties broken by the unique columns.
+    values = [5, 3, 5, 1, 3, 5, None]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id long, v long").repartition(5)
+    got = [(r.v, r.id) for r in SO.sort_report(df, F.desc("v"), unique=["id"]).collect()]
+    assert got == [(5, 0), (5, 2), (5, 5), (3, 1), (3, 4), (1, 3), (None, 6)]
+    got = [r.id for r in SO.sort_report(df, F.asc("v"), unique=["id"]).collect()]
+    assert got == [6, 3, 1, 4, 0, 2, 5]
+
+
+def test_shuffled_rows_come_in_key_order(spark):
+    # SRT-3
+    got = [r.shuffle_key for r in SO.keyed_shuffle(spark.range(500).repartition(7), ["id"], "s").collect()]
+    assert got == sorted(got) and len(set(got)) == 500
+
+
+def test_search_above_average_comes_in_order(spark):
+    # FLT-12: sorted by the value, ties by the remaining columns.
+    df = spark.createDataFrame([("a", i % 4, 10 - i % 3) for i in range(40)] + [("b", 0, 0)] * 9, "name string, k long, v long")
+    got = [(r.v, r.name, r.k) for r in S.any_match_above_avg(df, {"name": "a"}, "v").collect()]
+    assert got == sorted(got) and len(got) == 40
 
 
 def test_keyed_shuffle_is_reproducible_and_whole(spark):
@@ -263,13 +297,13 @@ def test_lookup_key_with_duplicate_names_raises(spark):
 
 
 def test_money_overflow_raises_under_ansi(spark):
-    # Trap 11: ANSI mode is on; a value beyond decimal(18,4) raises instead of wrapping.
+    # Trap 11: ANSI mode is on; a value beyond decimal(19,4) raises instead of wrapping.
     import pytest
 
     from relprep.functions.money import money
 
     assert spark.conf.get("spark.sql.ansi.enabled") == "true"
-    df = spark.createDataFrame([(1e15,)], "x double")
+    df = spark.createDataFrame([(1e16,)], "x double")
     with pytest.raises(Exception):
         df.select(money("x")).collect()
 

@@ -96,9 +96,18 @@ def test_bucketed_tables_join_without_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
-def test_co_locatable_detects_hot_key(spark):
-    even = spark.range(4000).select((F.col("id") % 1000).alias("k"))
-    hot = spark.range(3000).select(F.when(F.col("id") < 1000, F.lit(0)).otherwise(F.col("id")).alias("k"))
-    assert sinks.hottest_key_share(even, ["k"]) == 4 / 4000
-    assert abs(sinks.hottest_key_share(hot, ["k"]) - 1000 / 3000) < 1e-9
-    assert sinks.co_locatable(even, ["k"], 8) and not sinks.co_locatable(hot, ["k"], 8)
+def test_load_sees_a_rewritten_schema(spark, tmp_path):
+    from relprep.sources.tables import load
+
+    spark.range(3).write.parquet(str(tmp_path / "part.parquet"))
+    assert load(spark, str(tmp_path), "part").columns == ["id"]
+    spark.range(3).withColumn("more", F.lit(1)).write.mode("overwrite").parquet(str(tmp_path / "part.parquet"))
+    assert load(spark, str(tmp_path), "part").columns == ["id", "more"]
+
+
+def test_stream_reads_one_table_only(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "part.parquet"))
+    spark.range(100, 105).write.parquet(str(tmp_path / "partial.parquet"))
+    spark.range(200, 205).write.parquet(str(tmp_path / "part.parquets"))
+    got = run_to_table(table_stream(spark, str(tmp_path), "part"), lambda df: df, timeout_s=120)
+    assert sorted(r.id for r in got.collect()) == [0, 1, 2]
