@@ -32,7 +32,27 @@ def op5(spark, sf_dir):
     return token_store.read_tokens(images)
 
 
-@query("op8_quality_rules")
+@query(
+    "op8_quality_rules",
+    r"""
+    WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    windows AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+    twice AS (SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, s) > 1),
+    covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, range(3) AS r(k) GROUP BY doc_id),
+    raw AS (SELECT doc_id, source, unnest(string_split(t, chr(10))) AS x FROM d),
+    dup AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n FROM raw WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+    norm AS (SELECT doc_id, source, trim(regexp_replace(lower(x), '[ \t\x0B\f\r]+', ' ', 'g'), ' ') AS x FROM raw),
+    held AS (SELECT doc_id, source, x, sum(len(string_split(x, ' '))) AS words FROM norm WHERE x <> '' GROUP BY ALL),
+    common AS (SELECT source, x, min(doc_id) AS first FROM held GROUP BY source, x HAVING count(*) > 20),
+    lost AS (SELECT doc_id, sum(words) AS n FROM held JOIN common USING (source, x) WHERE doc_id <> first GROUP BY doc_id),
+    m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+                 CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
+                 CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_removed_words
+          FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN lost USING (doc_id))
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 10 * (n_words - n_removed_words) >= 3 * n_words AS kept
+    FROM m""",
+)
 def op8(spark, sf_dir):
     found = quality_rules.judge(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_removed_words", "base_failed", "kept")
@@ -41,8 +61,8 @@ def op8(spark, sf_dir):
 @query(
     "op9_benchmark_decontamination",
     r"""
-    WITH d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents),
-    b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM benchmark),
+    WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
+    b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
     ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
     bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM b WHERE len(w) > 0)),
     n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id),
@@ -58,7 +78,7 @@ def op9(spark, sf_dir):
 @query("op2_line_dedup")
 def op2(spark, sf_dir):
     docs = read(spark, sf_dir, "documents")
-    found = line_dedup.deduplicate(docs, max_bits=3, similarity=0.8)
+    found = line_dedup.deduplicate(docs, max_bits=2, similarity=0.8)
     removed = F.coalesce("_removed", F.array().cast("array<int>"))
     return found.select("doc_id", F.size(removed).alias("n_removed"), F.array_join(removed.cast("array<string>"), ",").alias("removed_lines"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 

@@ -9,8 +9,8 @@ the word before it is).
 
 Labels: ``labelled`` may bring findings with a 0/1 ``label``.  Without it they
 are labelled by their surroundings: a finding that is assigned to a secret's
-name and has digits is a secret, one that follows plain words with no
-assignment is not; others get no label.  As that uses the neighbourhood,
+name and has digits, or that has an issuer's format, is a secret, another that
+follows plain words with no assignment is not; the rest get no label.  As that uses the neighbourhood,
 each training row is also given with its neighbourhood blanked, so the forest
 has to judge by the run itself as well.  The fit takes at most
 ``MAX_TRAINING`` rows of each label, the first by a hash; that bound is the
@@ -42,11 +42,15 @@ MAX_TRAINING = 10_000
 TREES, DEPTH, SEED = 20, 6, 7
 #: A dictionary word occurs this often at least.
 MIN_COUNT = 3
-_CLASS = "A-Za-z0-9_+/=\\-"
-#: A gap and the run after it; gaps and runs together give every run's place.
-_PIECE = f"(?s)(.*?)((?<![{_CLASS}])[{_CLASS}]{{{MIN_LENGTH},}}+)"
+_CLASS = "A-Za-z0-9_+/\\-"
+#: A gap and the run after it; gaps and runs together give every run's place. The text's end
+#: closes the last gap, else a search would start again at each of its characters.
+_RUN = f"(?<![{_CLASS}])[{_CLASS}]{{{MIN_LENGTH},}}+={{0,2}}"
+_PIECE = f"(?s)(.*?)({_RUN}|\\z)"
 #: What secrets are assigned to (fixed values).
 KEY = "(?i)(token|secret|password|passwd|pwd|api_?key|access_?key|private_?key|auth|credential)"
+#: Formats that name their issuer (fixed values).
+ISSUED = "^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_(live|test)_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})$"
 NEIGHBOURS = ["key_before", "assigned", "quoted", "word_common"]
 FEATURES = ["length", "digits", "capitals", "vowels", "symbols", "distinct", "changes", "hexadecimal", "path", "covered", "test_source", *NEIGHBOURS]
 
@@ -63,8 +67,9 @@ def findings(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("ends", ends)
     rows = rows.select("doc_id", "source", "text", F.posexplode("pieces").alias("i", "piece"), "ends")
     stop = F.get("ends", F.col("i") + 1)
-    run = F.regexp_extract("piece", f"[{_CLASS}]{{{MIN_LENGTH},}}$", 0)
+    run = F.regexp_extract("piece", f"[{_CLASS}]{{{MIN_LENGTH},}}={{0,2}}$", 0)
     rows = rows.select("doc_id", "source", (stop - F.length(run)).alias("start"), stop.alias("stop"), run.alias("run"), "piece", F.substr("text", stop + 1, F.lit(1)).alias("after"))
+    rows = rows.where("run <> ''")
     before = F.substr(F.col("piece"), F.greatest(F.length("piece") - F.length("run") - 39, F.lit(1)), F.least(F.lit(40), F.length("piece") - F.length("run")))
     return rows.select("doc_id", "source", "start", "stop", "run", before.alias("before"), "after")
 
@@ -111,7 +116,7 @@ def featured(found: DataFrame, words: DataFrame) -> DataFrame:
 
 def surroundings() -> Column:
     """1, 0 or null: what a finding's neighbourhood says."""
-    secret = (F.col("key_before") == 1) & (F.col("assigned") == 1) & (F.col("digits") > 0)
+    secret = (F.col("key_before") == 1) & (F.col("assigned") == 1) & (F.col("digits") > 0) | F.col("run").rlike(ISSUED)
     plain = (F.col("key_before") == 0) & (F.col("assigned") == 0) & (F.col("quoted") == 0)
     return F.when(secret, 1.0).when(plain, 0.0)
 
