@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from relprep.functions.text import charindex
+from relprep.functions.text import charindex, left
 
 
 def _c(c: Column | str) -> Column:
@@ -50,7 +50,7 @@ def prefix_in(c: Column | str, digits: list[str] | tuple[str, ...]) -> Column:
     Comparing with integer literals would cast every first character to a
     number, which fails under ANSI mode for non-digits.
     """
-    return F.left(_c(c).cast("string"), F.lit(1)).isin(*[str(d) for d in digits])
+    return left(c, 1).isin(*[str(d) for d in digits])
 
 
 def any_equal(params: dict[str, Any]) -> Column:

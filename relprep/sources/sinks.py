@@ -73,23 +73,3 @@ def stage(df: DataFrame, name: str, deterministic: bool = True) -> DataFrame:
         df = materialize(df, scratch_path(df.sparkSession, name))
     df.createOrReplaceTempView(name)
     return df
-
-
-def materialize_bucketed(df: DataFrame, name: str, path: str, keys: list[str], buckets: int) -> DataFrame:
-    """SELECT ... INTO a table bucketed and sorted on its join key (SNK-3).
-
-    Tables written with the same bucket count on the same key join
-    without a shuffle (the bucketed scans already satisfy the join's
-    distribution), which matters when a loaded table is joined again and
-    again.  The table's files live at ``path`` (pass a location in the
-    shared folder); the session catalog only holds its definition.
-    """
-    (
-        df.write.mode("errorifexists")
-        .bucketBy(buckets, *keys)
-        .sortBy(*keys)
-        .option("path", path)
-        .saveAsTable(name)
-    )
-    return df.sparkSession.table(name)
-

@@ -77,25 +77,6 @@ def test_stream_load_matches_batch(spark, smoke_dir):
     assert sorted(map(tuple, streamed.collect())) == sorted(map(tuple, batch.collect()))
 
 
-def test_bucketed_tables_join_without_shuffle(spark):
-    from relprep.session import scratch_path as sp
-
-    a = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("x"))
-    b = spark.range(2000).select(F.col("id").alias("k"), (F.col("id") % 7).alias("y"))
-    root = sp(spark, "bucketed")
-    ta = sinks.materialize_bucketed(a, "bucket_a", f"{root}/a", ["k"], 4)
-    tb = sinks.materialize_bucketed(b, "bucket_b", f"{root}/b", ["k"], 4)
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        j = ta.join(tb, "k")
-        assert j.count() == 2000
-        plan = j._jdf.queryExecution().executedPlan().toString()
-        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
-
-
 def test_load_sees_a_rewritten_schema(spark, tmp_path):
     from relprep.sources.tables import load
 
