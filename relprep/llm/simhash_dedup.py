@@ -11,9 +11,10 @@ each of its bits with that bit left out, fingerprints that share a variant
 meet by an equality join on it, and the whole distance is verified.
 
 Skew: copies share one fingerprint, and only distinct fingerprints are
-indexed.  A variant that more than ``limit`` fingerprints share is cut again
-on its remaining bits by the same rule, down to eight open bits, where a
-group holds at most 2,048 fingerprints by construction.  A group yields one
+indexed.  A variant that may hold more than ``limit`` fingerprints (counted by
+whole segments first) is cut again on its remaining bits by the same rule,
+down to eight open bits, where a group holds at most 2,048 fingerprints by
+construction.  A group yields one
 link from each member to its local root, never all pairs.  Links become
 components by distributed rounds.
 
@@ -34,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relprep.llm.common import connected_components, written
+from relprep.llm.common import connected_components, partitions, written
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Hashes counted at a time, so that a very long text needs bounded memory.
@@ -128,30 +129,59 @@ def _local_links(max_bits: int):
     return run
 
 
+def _index(rows: DataFrame, opens: list[tuple[int, ...]], segments: int) -> tuple[DataFrame, list[tuple[int, ...]]]:
+    """(key, open, fp) for each one-wildcard variant of each segment of the open bits; what stays open."""
+    table, later = [], []
+    for i, bits in enumerate(opens):
+        for c, (mask, rest) in enumerate(_cuts(bits, segments)):
+            if rest not in later:
+                later.append(rest)
+            table.append((i, c, _signed(mask), later.index(rest)))
+    cuts = F.broadcast(rows.sparkSession.createDataFrame(table, "open int, cut int, mask long, next int"))  # a constant of the method
+    index = rows.join(cuts, "open")
+    return index.select(F.xxhash64("key", "open", "cut", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"), F.col("next").alias("open"), "fp"), later
+
+
+def _crowded(rows: DataFrame, segments: int, limit: int) -> DataFrame:
+    """The keys of the first index that may hold more than ``limit`` rows.
+
+    A variant's group is what two segment values share that differ in the
+    left-out bit, so it is small unless one of them has over half the limit.
+    Counting segment values takes two rows a fingerprint, not one a variant.
+    """
+    bits = np.array_split(np.arange(64), segments)
+    masks = F.array(*[F.lit(_signed(sum(1 << int(b) for b in part))) for part in bits])
+    whole = rows.select(F.posexplode(masks).alias("segment", "whole"), "fp").select("segment", F.col("fp").bitwiseAND(F.col("whole")).alias("value"))
+    many = whole.groupBy("segment", "value").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") * 2 > limit)
+    first, cuts = [0, *np.cumsum([len(p) for p in bits]).tolist()], _cuts(tuple(range(64)), segments)
+    table = rows.sparkSession.createDataFrame([(s, c, _signed(cuts[c][0])) for s in range(segments) for c in range(first[s], first[s + 1])], "segment int, cut int, mask long")
+    keys = many.join(F.broadcast(table), "segment")
+    return keys.select(F.xxhash64(F.lit(0).cast("long"), F.lit(0), "cut", F.col("value").bitwiseAND(F.col("mask"))).alias("key")).distinct()
+
+
 def links(fps: DataFrame, max_bits: int = 3, limit: int = 512) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs of ``fps.fp`` within ``max_bits``."""
     spark, segments = fps.sparkSession, max(2, max_bits // 2 + 1)
-    rows = fps.select(F.lit(0).cast("long").alias("key"), F.lit(0).alias("open"), "fp").distinct()
-    opens: list[tuple[int, ...]] = [tuple(range(64))]
-    edges = None
-    while True:
-        table, later = [], []
-        for i, bits in enumerate(opens):
-            for c, (mask, rest) in enumerate(_cuts(bits, segments)):
-                if rest not in later:
-                    later.append(rest)
-                table.append((i, c, _signed(mask), later.index(rest)))
-        cuts = F.broadcast(spark.createDataFrame(table, "open int, cut int, mask long, next int"))  # a constant of the method
-        index = rows.join(cuts, "open").select(F.xxhash64("key", "open", "cut", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"), F.col("next").alias("open"), "fp")
-        shared = written(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "variants")
-        last = max(map(len, later)) <= 8
-        small = shared if last else shared.where(F.col("n") <= limit)
-        met = index.join(small.select("key"), "key").select("key", "fp").repartition("key").sortWithinPartitions("key")
-        found = met.mapInPandas(_local_links(max_bits), "a long, b long").distinct()
-        edges = found if edges is None else edges.union(found)
-        if last or shared.where(F.col("n") > limit).isEmpty():
-            return edges
-        rows, opens = written(index.join(shared.where(F.col("n") > limit).select("key"), "key"), "hot-variants"), later
+    near = _local_links(max_bits)
+
+    def met(index: DataFrame) -> DataFrame:
+        grouped = index.select("key", "fp").repartition("key").sortWithinPartitions("key")
+        return grouped.mapInPandas(near, "a long, b long").distinct()
+
+    rows = fps.select(F.lit(0).cast("long").alias("key"), F.lit(0).alias("open"), "fp").distinct().repartition(partitions(spark))
+    index, opens = _index(rows, [tuple(range(64))], segments)
+    crowded = written(_crowded(rows, segments, limit), "crowded")
+    if crowded.isEmpty():
+        return met(index)
+    edges = met(index.join(crowded, "key", "left_anti"))
+    rows = written(index.join(crowded, "key"), "crowded-rows")
+    while True:  # the same cut of the bits that are still open
+        index, opens = _index(rows, opens, segments)
+        if max(map(len, opens)) <= 8:
+            return edges.union(met(index))
+        crowded = written(index.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit), "crowded")
+        edges = edges.union(met(index.join(crowded, "key", "left_anti")))
+        rows = written(index.join(crowded, "key").select("key", "open", "fp"), "crowded-rows")
 
 
 def components(docs: DataFrame, shingle: int = 3, max_bits: int = 3, limit: int = 512) -> DataFrame:
