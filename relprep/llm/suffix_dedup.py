@@ -53,8 +53,9 @@ WINDOW = WIDTH - GRAM + 1
 STRIDE = 81  # a context and padding, a multiple of 3
 #: Contexts sorted at a time (about 1.5 KB of working memory each).
 CONTEXTS = 30_000
-#: Bytes whose records are dealt out at a time.
+#: Bytes whose records are dealt out at a time, and hashed at a time.
 FLUSH = 8_000_000
+BLOCK = 1_000_000
 _LAST = (1 << 63) - 1
 
 
@@ -87,11 +88,13 @@ def runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     if len(data) < WIDTH:
         none = np.zeros(0, np.int64)
         return none.astype(np.uint64), none, none
-    low = minimizers(data)
-    inside = np.ones(len(low), dtype=bool)
+    n = len(data) - WIDTH + 1
+    # A block at a time: the hashes of a very long text are never held together.
+    low = np.concatenate([minimizers(data[a : a + BLOCK + WIDTH - 1]) for a in range(0, n, BLOCK)])
+    inside = np.ones(n, dtype=bool)
     for end in ends[:-1].tolist():  # strings across the end of a text
         inside[max(0, end - WIDTH + 1) : end] = False
-    change = np.ones(len(low), dtype=bool)
+    change = np.ones(n, dtype=bool)
     change[1:] = (low[1:] != low[:-1]) | ~inside[:-1]
     first = np.flatnonzero(change & inside)
     stop = np.flatnonzero(np.append(change[1:] | ~inside[1:], True) & inside) + 1
