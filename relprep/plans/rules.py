@@ -28,6 +28,7 @@ from relprep.functions import money as M
 from relprep.functions.predicates import all_of, like, not_like
 from relprep.functions.text import concat_strict, date_text, keyed_token, password_token, right, tsql_len, tsql_substring
 from relprep.operators.joins import left_join_default, lookup_key
+from relprep.operators.keys import with_identity
 from relprep.operators.quality import check_violations
 from relprep.operators.search import any_match, procedure, sql_procedure
 from relprep.operators.updates import (
@@ -138,6 +139,21 @@ def q_contact_sheet(spark: SparkSession, base: str) -> DataFrame:
     return contact_sheet(spark, base)
 
 
+@check(
+    "q_contact_sheet_sorted",
+    f"""SELECT last_name, first_name, card_number,
+               row_number() OVER (ORDER BY last_name NULLS FIRST, first_name NULLS FIRST, card_number NULLS FIRST) AS position
+        FROM (SELECT split_part(c_name, '#', 2) AS last_name, split_part(c_name, '#', 1) AS first_name, o.o_orderkey AS card_number
+              FROM customer JOIN nation ON c_nationkey = n_nationkey
+              LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > {CARD_ORDER_VALUE}) o ON c_custkey = o.o_custkey)""",
+    ("SRT-1", "SNK-4", "JOIN-6"),
+)
+def q_contact_sheet_sorted(spark: SparkSession, base: str) -> DataFrame:
+    """The sheet staged in name order: a table keeps no order, so each row carries its position."""
+    sheet = contact_sheet(spark, base).select("last_name", "first_name", "card_number")
+    return stage(with_identity(sheet, ["last_name", "first_name"], "position"), "contact_sheet_sorted", deterministic=False)
+
+
 @check(
     "q_contact_sheet_filtered",
     f"""SELECT * FROM (

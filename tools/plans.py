@@ -34,7 +34,7 @@ def tree_of(df) -> tuple[str, str]:
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]", 8, app_name="relprep-plans")
-    import __spark_entry__ as E
+    from relprep.plans import CHECKS
 
     print("# Physical plans of the check queries\n")
     print(f"Final adaptive plans at `{sf_dir}` (local[8], 8 shuffle partitions), generated by `tools/plans.py`.")
@@ -42,8 +42,8 @@ def main() -> None:
     print("At this size AQE measures every dimension under the broadcast threshold and broadcasts it; at")
     print("100 TB the same logical plans become shuffled sort-merge joins with skew splitting, except for")
     print("sides whose size is bounded (nation, region, top-n keys, per-partition offsets).\n")
-    for name, fn in E.queries().items():
-        df = fn(spark, sf_dir)
+    for name, c in CHECKS.items():
+        df = c.fn(spark, sf_dir)
         df.collect()
         tree, sub = tree_of(df)
         shuffles = len(re.findall(r"(?<!Broadcast)Exchange \(", tree))
