@@ -3,8 +3,9 @@
 The ids of a text are those of the ``tokenizers`` library.  Most of the
 library's time goes into words it has met before, so a text is cut where
 its pre-tokenizer always cuts (before white space that follows another
-character) and only chunks not met lately are handed to the library, many at
-once, joined by a special token that never merges with its neighbours.
+character) and only chunks not met lately are handed to the library: plain
+words to its model, others many at once to the tokenizer, joined by a special
+token that never merges with its neighbours.
 
 Two cuts are known.  ``"word"``: the pre-tokenizer drops white space, chunks
 are the words.  ``"space"``: white space belongs to the chunk it precedes.
@@ -16,73 +17,142 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
+
+import numpy as np
 
 #: Unicode white space, as the tokenizers' patterns know it (fixed values).
 _WS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _CHUNK = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 _WORD = re.compile(f"[^{_WS}]+")
-_SPACED = re.compile(f"[{_WS}\x1c-\x1f] ")
+_SPACED = re.compile(f"[{_WS}\x1c-\x1f][ \n]")
+#: Below it letters are whole in NFC and have one small letter each (fixed value).
+_PLAIN_BELOW = "\u0130"
+#: Byte-level vocabularies write bytes that do not print as the characters from U+0100 on.
+_BYTES = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 _ODD = "\x1c\x1d\x1e\x1f"
 
 
 class Encoder:
     """``encode(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
 
-    def __init__(self, path: str, cut: str, cache_words: int = 200_000):
+    def __init__(self, path: str, cut: str, cache_words: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        if sys.byteorder != "little" or array("I").itemsize != 4:
+            raise RuntimeError("ids are written as little-endian 32-bit integers")
         self.lib = Tokenizer.from_file(path)
+        self.model = self.lib.model
         self.mark = "<|endoftext|>"
         self.mark_id = self.lib.token_to_id(self.mark)
         self.cut, self.size = cut, cache_words
         self.new: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
-    def _chunks(self, text: str) -> list[str]:
+    def _keys(self, text: str) -> list[str]:
         if self.cut == "word":
             return _WORD.findall(text) if any(c in text for c in _ODD) else text.split()
         if _SPACED.search(text):
-            return _CHUNK.findall(text)
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]] if first else [" " + x for x in rest]
+            return ["\n  " + c for c in _CHUNK.findall(text)]
+        out: list[str] = []
+        for line in text.split("\n"):
+            first, *rest = line.split(" ")
+            out.append("\n" + first)
+            out += rest
+        if len(out[0]) == 1:
+            return out[1:]
+        out[0] = "\n " + out[0][1:]
+        return out
+
+    def _chunk(self, key: str) -> str:
+        """The text that a key of the cache stands for.
+
+        In ``"space"`` cuts a word after a space is its own key, without the
+        space; a line's first word has the line break in front; a text's
+        first word a line break and a space, and other chunks one space more.
+        """
+        if self.cut == "word":
+            return key
+        if key[:1] != "\n":
+            return " " + key
+        return key if key[1:2] != " " else key[2:] if key[2:3] != " " else key[3:]
+
+    def _parts(self, key: str) -> tuple[str, str]:
+        """Keys whose ids, one after the other, are those of ``key``; the second may be empty.
+
+        Letters and a closing mark are never one token, and a vocabulary of
+        words knows no capitals.
+        """
+        if self.cut == "word" and (key.isascii() or max(key) < _PLAIN_BELOW):
+            key = key.lower()
+        if len(key) > 1 and key[-1] in ".," and key[-2].isalpha():
+            return key[:-1], key[-1] if self.cut == "word" else "\n " + key[-1]
+        return key, ""
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str]) -> None:
-        import numpy as np
-
-        odd = [c for c in chunks if self.mark in c]
-        if odd:
-            self.new.update(zip(odd, self._plain(odd)))
-            chunks = [c for c in chunks if self.mark not in c]
-        if not chunks:
+    def _learn(self, keys: list[str]) -> None:
+        """Ids of chunks not met lately.
+
+        Latin letters (in ``"space"`` cuts after one space or none) are one
+        pre-token, which the library's model takes by its bytes; all others go
+        through the whole tokenizer, joined by the special token.
+        """
+        tokenize, rest = self.model.tokenize, []
+        for key in keys:
+            c = self._chunk(key)
+            word = c[1:] if c[0] == " " else c
+            if word.isalpha() and (c.isascii() or max(c) < _PLAIN_BELOW):
+                if not c.isascii():
+                    word = word.encode().decode("latin-1").translate(_BYTES)
+                self.new[key] = array("I", [t.id for t in tokenize("\u0120" + word if c[0] == " " else word)]).tobytes()
+            elif self.mark in c:
+                self.new[key] = self._plain([c])[0]
+            else:
+                rest.append((key, c))
+        if not rest:
             return
-        ids = np.array(self.lib.encode_batch_fast([self.mark.join(chunks)], add_special_tokens=False)[0].ids, dtype="<u4")
+        ids = np.array(self.lib.encode_batch_fast([self.mark.join([c for _, c in rest])], add_special_tokens=False)[0].ids, dtype="<u4")
         at = (4 * np.flatnonzero(ids == self.mark_id)).tolist()
         raw = ids.tobytes()
-        if len(at) != len(chunks) - 1:
+        if len(at) != len(rest) - 1:
             raise RuntimeError("the tokenizer did not keep the separators")
-        self.new.update((c, raw[i:j]) for c, i, j in zip(chunks, [0, *[x + 4 for x in at]], [*at, len(raw)]))
+        self.new.update((k, raw[i:j]) for (k, _), i, j in zip(rest, [0, *[x + 4 for x in at]], [*at, len(raw)]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._chunks(t) for t in texts]
+        cut = [self._keys(t) for t in texts]
         if len(self.new) > self.size:
             self.old, self.new = self.new, {}
-        new, old, missing = self.new, self.old, set()
-        for chunks in cut:
-            for c in chunks:
-                if c not in new:
-                    if c in old:
-                        new[c] = old[c]
+        new, old = self.new, self.old
+        found = [list(map(new.get, chunks)) for chunks in cut]
+        lacking = [k for k, ids in enumerate(found) if None in ids]
+        asked: set[str] = set()
+        for k in lacking:
+            asked.update([c for c, ids in zip(cut[k], found[k]) if ids is None])
+        unknown, derived = set(), []
+        for c in asked:
+            if (ids := old.get(c)) is not None:
+                new[c] = ids
+                continue
+            base, mark = self._parts(c)
+            if base != c:
+                derived.append((c, base, mark))
+            for x in (base, mark) if mark else (base,):
+                if x not in new:
+                    if (ids := old.get(x)) is not None:
+                        new[x] = ids
                     else:
-                        missing.add(c)
-        if missing:
-            self._learn(list(missing))
-        return [b"".join([new[c] for c in chunks]) for chunks in cut]
+                        unknown.add(x)
+        if unknown:
+            self._learn(list(unknown))
+        for c, base, mark in derived:
+            new[c] = new[base] + new[mark] if mark else new[base]
+        for k in lacking:
+            found[k] = [new[c] if ids is None else ids for c, ids in zip(cut[k], found[k])]
+        return [b"".join(ids) for ids in found]
 
 
 _ENCODERS: dict[tuple[str, str], Encoder] = {}
