@@ -109,5 +109,8 @@ def op3(spark, sf_dir):
         placed = F.sort_array(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), F.array_position(kinds, s["kind"]).alias("k"), s["stop"].alias("stop"))))
         return F.array_join(F.transform(placed, lambda s: F.concat_ws(":", F.get(kinds, (s["k"] - 1).cast("int")), s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii_crf.KINDS]
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in pii_crf.KINDS]
     return found.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.concat("base", "added")).alias("spans"))

@@ -131,12 +131,14 @@ def lev(a, b):
     return last[-1]
 
 
-def line_fp(text):
-    h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in text.split(" ")]
-    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+def line_fp(text, features=None):
+    w = text.split(" ")
+    features = features or (w if len(w) <= line_dedup.LONG else [" ".join(w[i : i + 2]) for i in range(len(w))])
+    h = [xxhash.xxh64_intdigest(x.encode(), 42) for x in features]
+    return sum(1 << b for b in range(60) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def plain_line_dedup(rows):
+def plain_line_dedup(rows, max_bits):
     at = collections.defaultdict(list)
     for d, t in rows:
         for i, x in enumerate(t.split("\n")):
@@ -146,7 +148,7 @@ def plain_line_dedup(rows):
 
     def linked(a, b):
         most = max(len(a), len(b))
-        return (fp[a] ^ fp[b]).bit_count() <= 3 and min(len(a), len(b)) >= 0.8 * most and lev(a, b) <= int(0.2 * most + 1e-9)
+        return (fp[a] ^ fp[b]).bit_count() <= max_bits and min(len(a), len(b)) >= 0.8 * most and lev(a, b) <= int(0.2 * most + 1e-9)
 
     root, groups = closure(sorted(at), linked), collections.defaultdict(list)
     for x, places in at.items():
@@ -161,10 +163,10 @@ def plain_line_dedup(rows):
 LINES = ["the quick brown fox jumps over the lazy dog near the old river bank today", "another line that stands alone", "Short.", "--", ""]
 
 
-@pytest.mark.parametrize("limit", [256, 3])
-def test_line_dedup(spark, limit):
+@pytest.mark.parametrize("limit,max_bits", [(256, 2), (3, 2), (3, 3)])
+def test_line_dedup(spark, limit, max_bits):
     rng = np.random.default_rng(2)
-    long = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "theta"], 60)) for _ in range(3)]
+    long = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa", "theta"], n)) for n in (60, 60, 400)]
     rows = []
     for d in range(40):
         lines = []
@@ -176,19 +178,22 @@ def test_line_dedup(spark, limit):
                 lines.append(" ".join(w).upper() if rng.random() < 0.2 else " ".join(w))
         rows.append((d, "\n".join(lines)))
     table = spark.createDataFrame(rows, "doc_id long, text string")
-    want = plain_line_dedup(rows)
-    got = {r.doc_id: set(r.removed) for r in line_dedup.decisions(table, limit=limit).collect()}
+    want = plain_line_dedup(rows, max_bits)
+    got = {r.doc_id: set(r.removed) for r in line_dedup.decisions(table, max_bits=max_bits, limit=limit).collect()}
     assert got == {d: x for d, x in want.items() if x}
     assert sum(map(len, got.values())) > 60
-    texts = {r.doc_id: r.text for r in line_dedup.deduplicate(table, limit=limit).collect()}
+    texts = {r.doc_id: r.text for r in line_dedup.deduplicate(table, max_bits=max_bits, limit=limit).collect()}
     for d, t in rows:
         assert texts[d] == "\n".join(x for i, x in enumerate(t.split("\n")) if i not in want.get(d, ()))
 
 
 def test_line_simhash_of_a_very_long_line(spark):
-    text = " ".join(f"w{i % 7001}" for i in range(70_000))
-    got = line_dedup.line_table(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
-    assert got.fp % (1 << 64) == line_fp(text)
+    words = [f"w{i % 7001}" for i in range(70_000)]
+    got = line_dedup.line_table(spark.createDataFrame([(1, " ".join(words))], "doc_id long, text string")).first()
+    pairs, want = [" ".join(words[i : i + 2]) for i in range(len(words))], 0
+    for i in range(0, len(pairs), line_dedup.PART):
+        want ^= line_fp("", pairs[i : i + line_dedup.PART])
+    assert got.fp == want
 
 
 def test_line_dedup_awkward_rows(awkward):
@@ -392,6 +397,19 @@ def test_suffix_dedup(which, request):
     assert substring_dedup(table) == want and any(k[2] for k in want)
 
 
+def test_runs_do_not_depend_on_blocks(monkeypatch):
+    rng = np.random.default_rng(13)
+    data = rng.integers(97, 100, 3000, dtype=np.uint8)
+    data[500:900] = 97  # a repeating text
+    ends = np.array([700, 1500, 3000])
+    covered = lambda found: {(int(v), int(a) + k) for v, a, n in zip(*found) for k in range(int(n))}
+    whole = covered(suffix_dedup.runs(data, ends))
+    assert len(whole) == 3000 - 3 * 49
+    for block in (1, 7, 64, 1000):
+        monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+        assert covered(suffix_dedup.runs(data, ends)) == whole
+
+
 def test_suffix_dedup_edges_of_matches(spark):
     rng = np.random.default_rng(8)
     letter = lambda n, k=3: "".join(rng.choice(list("abcdefghé")[:k], n))
@@ -487,6 +505,16 @@ def test_pii_decoding_is_the_best_segmentation():
         assert pii_crf.decode(text, weights) == [(k, cut[i], cut[j]) for k, i, j in best[2]]
 
 
+def test_pii_query(spark, smoke_dir, docs):
+    got = {r.doc_id: r for r in QUERIES["op3_pii_spans"](spark, smoke_dir).collect()}
+    for r in docs.collect():
+        base = plain_base(r.text or "")
+        row, text = got[r.doc_id], ",".join(f"{k}:{a}:{b}" for k, a, b in base)
+        assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == tuple(sum(k == x for x, *_ in base) for k in ("email", "ip", "card", "phone"))
+        assert row.base_sha256 == hashlib.sha256(text.encode()).hexdigest()
+        assert set(text.split(",")) - {""} <= set(row.spans.split(","))
+
+
 def test_pii_scan(spark, awkward):
     text = "Write to ann.lee@mail.example.com or call (555) 123-4567; host 10.0.0.7, é card 4111111111111111 4111111111111111."
     rows = [(1, text, "x"), (None, None, "x"), (2, "", None), (1, text, "x"), (3, "1" * 5000 + " " + "9 " * 3000, "x")]
@@ -585,7 +613,7 @@ def test_secret_findings_and_places(spark):
     text = 'é api_key = "A9f8Q7z6X5c4V3b2N1m0" and /usr/local/share/dictionaries plus supercalifragilistic word'
     rows = [(1, text, "s"), (2, None, None), (3, "", "s"), (4, "short", "s"), (5, "x" * 100_000, "s")]
     got = secret_forest.findings(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
-    want = [(1, m.start(), m.end(), m[0]) for m in re.finditer(r"[A-Za-z0-9_+/=\-]{16,}", text)] + [(5, 0, 100_000, "x" * 100_000)]
+    want = [(1, m.start(), m.end(), m[0]) for m in re.finditer(r"[A-Za-z0-9_+/\-]{16,}={0,2}", text)] + [(5, 0, 100_000, "x" * 100_000)]
     assert sorted((r.doc_id, r.start, r.stop, r.run) for r in got) == sorted(want)
     first = next(r for r in got if r.run.startswith("A9"))
     assert first.before.endswith('api_key = "') and first.after == '"'
