@@ -185,21 +185,24 @@ def links(fps: DataFrame, max_bits: int = 3, limit: int = 512) -> DataFrame:
 
 
 def components(docs: DataFrame, shingle: int = 3, max_bits: int = 3, limit: int = 512) -> DataFrame:
-    """(doc_id, text_hash, fp, component_id) for every row: the smallest doc_id it reaches."""
+    """(doc_id, text_hash, fp, component_id, root) for every row.
+
+    ``component_id`` is the smallest doc_id the row reaches, which may be null
+    or shared where doc_ids are; ``root``, a fingerprint, tells components apart.
+    """
     rows = written(fingerprints(docs, shingle), "fingerprints")
     fps = rows.groupBy("fp").agg(F.min("doc_id").alias("first"))
     member = connected_components(links(fps, max_bits, limit), "simhash")
     rooted = fps.join(member, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id")
+    named = rooted.join(lowest, "root").select("fp", "component_id", "root")
+    return rows.join(named, "fp").select("doc_id", "text_hash", "fp", "component_id", "root")
 
 
 def deduplicate(docs: DataFrame, shingle: int = 3, max_bits: int = 3, limit: int = 512) -> DataFrame:
     """The rows of ``docs`` with the smallest (doc_id, text hash) of each component, one of each."""
     found = components(docs, shingle, max_bits, limit)
-    # A component whose rows all have a null doc_id is named by its fingerprints' root only.
-    best = found.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("s")).select("s.doc_id", "s.text_hash")
+    best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("s")).select("s.doc_id", "s.text_hash")
     best = written(best, "kept")
     own = docs.withColumn("_hash", F.xxhash64("text"))
     kept = own.join(best.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_th")), "left_semi")

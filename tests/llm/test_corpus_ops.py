@@ -114,6 +114,13 @@ def test_simhash_deduplicate_keeps_one_of_each(awkward):
     assert len(got) == len({c.component_id for c in simhash_dedup.components(awkward).collect()})
 
 
+def test_simhash_deduplicate_tells_components_without_an_id_apart(spark):
+    text = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (7, text("c")), (7, text("d")), (8, text("d")), (None, text("d"))]
+    got = simhash_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in got) == sorted([(0, text("a")), (0, text("b")), (7, text("c")), (7, text("d"))])
+
+
 # ---- operator 2
 
 
