@@ -42,10 +42,13 @@ MAX_TRAINING = 10_000
 TREES, DEPTH, SEED = 20, 6, 7
 #: A dictionary word occurs this often at least.
 MIN_COUNT = 3
+#: Characters of the neighbourhood before a finding.
+NEAR = 80
 _CLASS = "A-Za-z0-9_+/\\-"
 #: A gap and the run after it; gaps and runs together give every run's place. The text's end
 #: closes the last gap, else a search would start again at each of its characters.
-_RUN = f"(?<![{_CLASS}])[{_CLASS}]{{{MIN_LENGTH},}}+={{0,2}}"
+#: An '=' that a value follows is an assignment, not a run's padding.
+_RUN = f"(?<![{_CLASS}])[{_CLASS}]{{{MIN_LENGTH},}}+(?:={{1,2}}(?!=*[\"'`]?[{_CLASS}!@#$%^&*~]))?"
 _PIECE = f"(?s)(.*?)({_RUN}|\\z)"
 #: What secrets are assigned to (fixed values).
 KEY = "(?i)(token|secret|password|passwd|pwd|api_?key|access_?key|private_?key|auth|credential)"
@@ -68,10 +71,12 @@ def findings(docs: DataFrame) -> DataFrame:
     rows = rows.select("doc_id", "source", "text", F.posexplode("pieces").alias("i", "piece"), "ends")
     stop = F.get("ends", F.col("i") + 1)
     run = F.regexp_extract("piece", f"[{_CLASS}]{{{MIN_LENGTH},}}={{0,2}}$", 0)
-    rows = rows.select("doc_id", "source", (stop - F.length(run)).alias("start"), stop.alias("stop"), run.alias("run"), "piece", F.substr("text", stop + 1, F.lit(1)).alias("after"))
+    start = stop - F.length(run)
+    # From the whole text: a long key name is a run itself, and the gap after it has lost the name.
+    before = F.substr("text", F.greatest(start - (NEAR - 1), F.lit(1)), F.least(F.lit(NEAR), start))
+    rows = rows.select("doc_id", "source", start.alias("start"), stop.alias("stop"), run.alias("run"), before.alias("before"), F.substr("text", stop + 1, F.lit(1)).alias("after"))
     rows = rows.where("run <> ''")
-    before = F.substr(F.col("piece"), F.greatest(F.length("piece") - F.length("run") - 39, F.lit(1)), F.least(F.lit(40), F.length("piece") - F.length("run")))
-    return rows.select("doc_id", "source", "start", "stop", "run", before.alias("before"), "after")
+    return rows.select("doc_id", "source", "start", "stop", "run", "before", "after")
 
 
 def dictionary(docs: DataFrame) -> DataFrame:

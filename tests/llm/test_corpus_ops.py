@@ -653,6 +653,27 @@ def test_secret_forest_on_held_out_findings(spark):
     assert secret_forest.scan(spark.createDataFrame(rows[:0], "doc_id long, text string, source string")).count() == 0
 
 
+def test_secret_key_names_longer_than_a_run(spark):
+    secret = "wJalrXUtnFEMI/K7MDENG+bPxRfiCY3Q9z"
+    texts = [
+        f"AWS_SECRET_ACCESS_KEY={secret}",
+        f'AWS_SECRET_ACCESS_KEY="{secret}"',
+        f'the_main_database_password = "{secret}"',
+        f"some_service_account_token: {secret}",
+        f"plain words and {secret}== then words",
+    ]
+    table = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], "doc_id long, text string, source string")
+    got = {(r.doc_id, r.run): r for r in secret_forest.findings(table).collect()}
+    names = [(0, "AWS_SECRET_ACCESS_KEY"), (1, "AWS_SECRET_ACCESS_KEY"), (2, "the_main_database_password"), (3, "some_service_account_token")]
+    assert set(got) == {*names, *((i, secret) for i in range(4)), (4, secret + "==")}
+    assert all(r.stop - r.start == len(r.run) and texts[r.doc_id][r.start : r.stop] == r.run for r in got.values())
+    words = spark.createDataFrame([], "word string, n long")
+    rows = secret_forest.featured(secret_forest.findings(table), words).withColumn("label", secret_forest.surroundings()).collect()
+    assert {(r.doc_id, r.run): r.label for r in rows} == {k: float(k[0] < 4 and k[1] == secret) for k in got}
+    found = secret_forest.scan(table.where("doc_id < 4").limit(1)).collect()
+    assert [(r.doc_id, r.run) for r in found if r.run == secret]
+
+
 def test_secret_scan_awkward_rows(awkward):
     assert secret_forest.scan(awkward).columns == ["doc_id", "start", "stop", "run", "score"]
     assert secret_forest.scan(awkward).count() >= 0
