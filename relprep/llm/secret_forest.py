@@ -1,6 +1,7 @@
 """Secret scan with a random forest against false positives (operator 7), JVM functions only.
 
-Findings are runs of at least 16 token characters.  Features: the length;
+Findings are runs of at least 16 token characters, and values of at least 8
+characters of any kind but white space that are assigned to a secret's name.  Features: the length;
 shares of digits, capitals, vowels, symbols and distinct characters; changes
 between character classes; whether the run is hexadecimal or looks like a
 path; the share of it that words of the corpus cover; and the neighbourhood
@@ -49,34 +50,47 @@ _CLASS = "A-Za-z0-9_+/\\-"
 #: closes the last gap, else a search would start again at each of its characters.
 #: An '=' that a value follows is an assignment, not a run's padding.
 _RUN = f"(?<![{_CLASS}])[{_CLASS}]{{{MIN_LENGTH},}}+(?:={{1,2}}(?!=*[\"'`]?[{_CLASS}!@#$%^&*~]))?"
-_PIECE = f"(?s)(.*?)({_RUN}|\\z)"
 #: What secrets are assigned to (fixed values).
 KEY = "(?i)(token|secret|password|passwd|pwd|api_?key|access_?key|private_?key|auth|credential)"
+#: The shortest assigned value; a name's further characters and the space around the sign are bounded.
+MIN_VALUE = 8
+_SIGN = KEY + "[A-Za-z0-9_]{0,64}[\"'\\]]{0,2}\\s{0,16}(?:=>|:=|=|:|(?<=\\s)is\\s)\\s{0,16}"
+#: A quoted value up to its quote, or one up to white space, without the punctuation that closes it.
+_QUOTED = [f"(?<={q})[^{q}\\s]{{{MIN_VALUE},}}" for q in "\"'`"]
+_PLAIN = f"(?<![\"'`])[^\\s\"'`]{{{MIN_VALUE},}}(?<![,;.)\\]}}>])"
+_ASSIGNED = _SIGN + "[\"'`]?(?:" + "|".join([*[f"{v}(?={q})" for v, q in zip(_QUOTED, "\"'`")], _PLAIN]) + ")"
+#: The same at the end of a piece, where the closing quote is cut off.
+_LAST = _SIGN + "[\"'`]?(" + "|".join([*_QUOTED, _PLAIN]) + ")"
 #: Formats that name their issuer (fixed values).
 ISSUED = "^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|sk_(live|test)_[A-Za-z0-9]{16,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35})$"
 NEIGHBOURS = ["key_before", "assigned", "quoted", "word_common"]
 FEATURES = ["length", "digits", "capitals", "vowels", "symbols", "distinct", "changes", "hexadecimal", "path", "covered", "test_source", *NEIGHBOURS]
 
 
-def findings(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, start, stop, run, before, after): places in code points, stop excluded."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text").where(F.col("text").rlike(f"[{_CLASS}]{{{MIN_LENGTH}}}"))
-    rows = rows.withColumn("pieces", F.regexp_extract_all("text", F.lit(_PIECE), F.lit(0)))
+def _places(found: str, tail: str, group: int) -> Column:
+    """(start, stop, run) of what ``found`` matches in the text; ``tail`` cuts the run from a gap and its match."""
+    pieces = F.regexp_extract_all("text", F.lit(f"(?s)(.*?)({found}|\\z)"), F.lit(0))
+    each = F.transform(pieces, lambda x: F.struct(F.length(x).alias("n"), F.regexp_extract(x, f"(?:{tail})\\z", group).alias("run")))
+    none = F.struct(F.lit(0).alias("start"), F.lit(0).alias("stop"), F.lit("").alias("run"))
     ends = F.aggregate(
-        "pieces",
-        F.array(F.lit(0)),
-        lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + F.length(x))),
+        each,
+        F.array(none),
+        lambda a, x: F.concat(a, F.array(F.struct((F.element_at(a, -1)["stop"] + x["n"] - F.length(x["run"])).alias("start"), (F.element_at(a, -1)["stop"] + x["n"]).alias("stop"), x["run"].alias("run")))),
     )
-    rows = rows.withColumn("ends", ends)
-    rows = rows.select("doc_id", "source", "text", F.posexplode("pieces").alias("i", "piece"), "ends")
-    stop = F.get("ends", F.col("i") + 1)
-    run = F.regexp_extract("piece", f"[{_CLASS}]{{{MIN_LENGTH},}}={{0,2}}$", 0)
-    start = stop - F.length(run)
+    return F.filter(ends, lambda x: x["run"] != "")
+
+
+def findings(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, start, stop, run, before, after): places in code points, stop excluded."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text")
+    runs = F.when(F.col("text").rlike(f"[{_CLASS}]{{{MIN_LENGTH}}}"), _places(_RUN, f"[{_CLASS}]{{{MIN_LENGTH},}}={{0,2}}", 0))
+    values = F.when(F.col("text").rlike(KEY), _places(_ASSIGNED, _LAST, 2))
+    none = F.array().cast("array<struct<start:int,stop:int,run:string>>")
+    rows = rows.withColumn("runs", F.coalesce(runs, none)).withColumn("values", F.coalesce(values, none))
+    rows = rows.select("doc_id", "source", "text", F.inline(F.array_union("runs", "values")))
     # From the whole text: a long key name is a run itself, and the gap after it has lost the name.
-    before = F.substr("text", F.greatest(start - (NEAR - 1), F.lit(1)), F.least(F.lit(NEAR), start))
-    rows = rows.select("doc_id", "source", start.alias("start"), stop.alias("stop"), run.alias("run"), before.alias("before"), F.substr("text", stop + 1, F.lit(1)).alias("after"))
-    rows = rows.where("run <> ''")
-    return rows.select("doc_id", "source", "start", "stop", "run", "before", "after")
+    before = F.substr("text", F.greatest(F.col("start") - (NEAR - 1), F.lit(1)), F.least(F.lit(NEAR), F.col("start")))
+    return rows.select("doc_id", "source", "start", "stop", "run", before.alias("before"), F.substr("text", F.col("stop") + 1, F.lit(1)).alias("after"))
 
 
 def dictionary(docs: DataFrame) -> DataFrame:
@@ -111,8 +125,8 @@ def featured(found: DataFrame, words: DataFrame) -> DataFrame:
         "path": run.rlike("^/|[A-Za-z0-9]/[A-Za-z0-9_-]+/"),
         "covered": F.coalesce(F.col("letters") / F.length(run), F.lit(0)),
         "test_source": F.coalesce(F.col("source").rlike("(?i)test|example|sample|mock"), F.lit(False)),
-        "key_before": before.rlike(KEY + r"[A-Za-z_]*[\"']?\s*(=|:|=>|is)?\s*[\"'`]?$"),
-        "assigned": before.rlike(r"(=|:)\s*[\"'`]?$"),
+        "key_before": before.rlike(KEY + r"[A-Za-z0-9_]*[\"'\]]{0,2}\s*(=>|:=|=|:|is)?\s*[\"'`]?$"),
+        "assigned": before.rlike(r"(=>|=|:)\s*[\"'`]?$"),
         "quoted": before.rlike(r"[\"'`]$") & F.col("after").isin('"', "'", "`"),
         "word_common": F.log1p(F.coalesce("n", F.lit(0))),
     }
@@ -142,7 +156,8 @@ def fit(rows: DataFrame, max_rows: int = MAX_TRAINING) -> PipelineModel | None:
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
     """(doc_id, start, stop, run, score) of the findings judged to be secrets."""
-    rows = written(featured(findings(docs), dictionary(docs)), "findings")
+    found = written(findings(docs), "found")  # read twice below, scanned once
+    rows = written(featured(found, dictionary(docs)), "findings")
     model = fit(rows.withColumn("label", surroundings()).where("label IS NOT NULL") if labelled is None else labelled)
     if model is None:
         return rows.where(surroundings() == 1).select("doc_id", "start", "stop", "run", F.lit(1.0).alias("score"))

@@ -674,6 +674,27 @@ def test_secret_key_names_longer_than_a_run(spark):
     assert [(r.doc_id, r.run) for r in found if r.run == secret]
 
 
+def test_short_and_symbol_secrets_are_candidates(spark):
+    cases = [
+        ('é password = "hunter2Xy9kQ" end', "hunter2Xy9kQ"),
+        ('pwd: "Tr0ub4dor&3-horse!x"', "Tr0ub4dor&3-horse!x"),
+        ("passwd=p@ss.w0rd!, next", "p@ss.w0rd!"),
+        ("{'api_key': 'a:b$c&d9'}", "a:b$c&d9"),
+        ("auth token => q9!w8@e7#\nmore", "q9!w8@e7#"),
+        ("cfg['password'] = `x7%kk(9)z`", "x7%kk(9)z"),
+        ("password = short", None),
+        ("my password has grown", None),
+    ]
+    table = spark.createDataFrame([(i, t, "s") for i, (t, _) in enumerate(cases)], "doc_id long, text string, source string")
+    found = secret_forest.findings(table)
+    want = [(i, t.index(x), t.index(x) + len(x), x) for i, (t, x) in enumerate(cases) if x]
+    assert sorted((r.doc_id, r.start, r.stop, r.run) for r in found.collect()) == want
+    rows = secret_forest.featured(found, spark.createDataFrame([], "word string, n long")).withColumn("label", secret_forest.surroundings())
+    assert {r.label for r in rows.collect()} == {1.0}
+    once = spark.createDataFrame([(1, 'token = "A9f8Q7z6X5c4V3b2N1m0"', "s")] * 2 + [(2, "token" * 20_000, "s"), (3, "password" + " " * 50_000, "s")], "doc_id long, text string, source string")
+    assert sorted(r.doc_id for r in secret_forest.findings(once).collect()) == [1, 1, 2]
+
+
 def test_secret_scan_awkward_rows(awkward):
     assert secret_forest.scan(awkward).columns == ["doc_id", "start", "stop", "run", "score"]
     assert secret_forest.scan(awkward).count() >= 0
