@@ -203,6 +203,23 @@ def test_line_simhash_of_a_very_long_line(spark):
     assert got.fp == want
 
 
+@pytest.mark.parametrize("limit", [256, 1])
+def test_line_dedup_links_near_copies_on_either_side_of_a_length(spark, limit):
+    # A long vocabulary word by word, and one more frequent word at the end.
+    words = [w for i in range(line_dedup.LONG // 2) for w in (f"w{i}", "the")]
+    rows = [(1, " ".join(words)), (2, " ".join([*words, "the"])), (3, " ".join([*words, "the", "the"])), (4, "alone")]
+    got = {r.doc_id: r.removed for r in line_dedup.decisions(spark.createDataFrame(rows, "doc_id long, text string"), limit=limit).collect()}
+    assert got == {2: [0], 3: [0]}
+
+
+def test_line_simhash_adds_the_counts_of_parts(spark):
+    n = 16_000
+    words = [f"w{i % 7001}" for i in range(n + 1)]
+    rows = [(k, " ".join(words[:k])) for k in (n, n + 1)]
+    got = {r.doc_id: r.fp for r in line_dedup.line_table(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[n] ^ got[n + 1]).bit_count() <= 3
+
+
 def test_line_dedup_awkward_rows(awkward):
     out = line_dedup.deduplicate(awkward)
     assert out.columns == [*awkward.columns, "_removed"]
