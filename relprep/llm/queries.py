@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from relprep.llm import decontaminate, line_dedup, packing, pii_crf, quality_rules, secret_forest, simhash_dedup, suffix_dedup, token_store, url_model
+from relprep.llm import decontaminate, line_dedup, packing, pii_crf, quality_rules, secret_forest, simhash_dedup, suffix_dedup, token_counts, token_store, url_model
 from relprep.llm.common import read
 from relprep.llm.registry import query
 
@@ -114,3 +114,8 @@ def op3(spark, sf_dir):
 
     counts = [count(k) for k in pii_crf.KINDS]
     return found.select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.concat("base", "added")).alias("spans"))
+
+
+@query("op11_token_counts")
+def op11(spark, sf_dir):
+    return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
