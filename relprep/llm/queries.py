@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from relprep.llm import decontaminate, line_dedup, packing, pii_crf, quality_rules, secret_forest, simhash_dedup, suffix_dedup, token_counts, token_store, url_model
+from relprep.llm import conversation_trie, decontaminate, line_dedup, packing, pii_crf, quality_rules, secret_forest, simhash_dedup, suffix_dedup, token_counts, token_store, url_model, word_variants
 from relprep.llm.common import read
 from relprep.llm.registry import query
 
@@ -119,3 +119,70 @@ def op3(spark, sf_dir):
 @query("op11_token_counts")
 def op11(spark, sf_dir):
     return token_counts.count_tokens(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+#: CRC-32 in SQL: the table of the polynomial's remainders, and a string's number as an expression.
+_CRC = "crc AS (SELECT list(list_reduce(range(0, 8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i) ORDER BY i) AS t FROM range(256) AS r(i))"
+
+
+def _crc32(s):
+    octets = f"list_transform(range(1, 2 * octet_length(encode({s})), 2), lambda k: CAST('0x' || substr(hex(encode({s})), k, 2) AS BIGINT))"
+    return f"xor(list_reduce({octets}, lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]), 4294967295), 4294967295)"
+
+
+@query(
+    "op12_conversation_trie",
+    f"""
+    WITH {_CRC},
+    own AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                   row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) - 1 AS i
+            FROM conversations WHERE conv_id IS NOT NULL),
+    convs AS (SELECT conv_id, conv_id - conv_id % 100 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM own), crc),
+    turns AS (SELECT c.conv_id, 0 AS part, i, role, text FROM convs AS c JOIN own ON own.conv_id = base WHERE i < h
+              UNION ALL SELECT c.conv_id, 1, i, role, text FROM convs AS c JOIN own USING (conv_id) WHERE i >= h),
+    placed AS (SELECT conv_id, row_number() OVER w AS depth, len(text) AS chars,
+                      string_agg(len(role) || ':' || role || len(text) || ':' || text, '') OVER (w ROWS UNBOUNDED PRECEDING) AS path
+               FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY part, i)),
+    members AS (SELECT conv_id, 0 AS depth, 0 AS chars, '' AS path FROM convs UNION ALL SELECT conv_id, depth, chars, path FROM placed),
+    above AS (SELECT conv_id, depth + 1 AS depth, path AS up FROM members),
+    tops AS (SELECT conv_id, max(depth) AS last FROM members GROUP BY conv_id),
+    nodes AS (SELECT path, depth, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars,
+                     string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = last) AS ends
+              FROM members LEFT JOIN above USING (conv_id, depth) JOIN tops USING (conv_id) GROUP BY path, depth),
+    kids AS (SELECT up AS path, depth - 1 AS depth, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL),
+    own_sums AS (SELECT nodes.*, coalesce(kids.n, 0) AS n_children, (n_convs - 1) * chars AS saved FROM nodes LEFT JOIN kids USING (path, depth)),
+    below AS (SELECT m.path, m.depth, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(saved) AS saved_tokens
+              FROM own_sums AS s JOIN members AS m ON m.conv_id = s.conv_id AND m.depth <= s.depth GROUP BY ALL)
+    SELECT s.conv_id, CAST(s.depth AS BIGINT) AS depth, p.conv_id AS parent_conv_id, s.n_convs, CAST(s.n_children AS BIGINT) AS n_children,
+           CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(s.ends, '')) AS ends_sha256
+    FROM own_sums AS s JOIN below USING (path, depth) LEFT JOIN nodes AS p ON p.path = s.up AND p.depth = s.depth - 1
+    """,
+)
+def op12(spark, sf_dir):
+    return conversation_trie.trie(read(spark, sf_dir, "conversations"))
+
+
+@query(
+    "op13_spelling_variants",
+    f"""
+    WITH RECURSIVE {_CRC},
+    runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+    numbered AS (SELECT run, {_crc32("coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run")} AS h FROM runs, crc WHERE length(run) >= 7),
+    cut AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM numbered),
+    words AS (SELECT word, count(*) AS n FROM cut WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+    places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+    holes AS (SELECT word, n, i, substr(word, 1, i - 1) AS front, substr(word, i + 1) AS back FROM places),
+    shorter AS (SELECT DISTINCT word, n, front || back AS near FROM holes),
+    pairs AS (SELECT a.word, b.word AS near, b.n AS n_near FROM holes AS a JOIN holes AS b USING (i, front, back) WHERE a.word <> b.word
+              UNION ALL SELECT s.word, near, words.n FROM shorter AS s JOIN words ON near = words.word
+              UNION ALL SELECT near, s.word, s.n FROM shorter AS s JOIN words ON near = words.word),
+    best AS (SELECT word, count(*) AS n_near, first(near ORDER BY n_near DESC, near) AS near, max(n_near) AS near_n FROM pairs GROUP BY word),
+    formed AS (SELECT word, n, coalesce(best.n_near, 0) AS n_near, CASE WHEN near_n >= 10 * n THEN near END AS form, CASE WHEN near_n >= 10 * n THEN near_n END AS form_n
+               FROM words LEFT JOIN best USING (word)),
+    ways AS (SELECT word, word AS root FROM formed WHERE form IS NULL UNION ALL SELECT f.word, root FROM formed AS f JOIN ways ON f.form = ways.word)
+    SELECT word, n, CAST(n_near AS BIGINT) AS n_near, form, form_n, root FROM formed JOIN ways USING (word)
+    """,
+)
+def op13(spark, sf_dir):
+    words = word_variants.document_words(read(spark, sf_dir, "documents"))
+    return word_variants.group_variants(words).select("word", "n", "n_near", "form", "form_n", "root")
