@@ -9,6 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -82,9 +85,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+#: Where scratch tables go while a step of a flow runs (``flows.Flow``).
+_SCOPE: ContextVar[str | None] = ContextVar("scratch_scope", default=None)
+_MADE: set[str] = set()
+
+
+@contextmanager
+def scratch_in(folder: str):
+    """Scratch tables made inside go below ``folder``, whose owner removes them."""
+    token = _SCOPE.set(folder)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(token)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a written table."""
-    import uuid
+    """A fresh path under the shared checkpoint folder for a written table.
+
+    The scratch tables of an application lie in one folder, which is removed
+    when the driver ends.
+    """
+    scope = _SCOPE.get()
+    if scope is None:
+        scope = f"{checkpoint_dir(spark).rstrip('/')}/tables"
+        try:
+            scope = f"{scope}/{spark.sparkContext.applicationId}"
+        except Exception:  # Spark Connect clients have no SparkContext: the server's owner clears the folder
+            return f"{scope}/{name}-{uuid.uuid4().hex}"
+        if scope not in _MADE:
+            from relprep.sources.files import remove_on_exit
+
+            remove_on_exit(spark, scope)
+            _MADE.add(scope)
+    return f"{scope}/{name}-{uuid.uuid4().hex}"
 
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/tables/{name}-{uuid.uuid4().hex}"
