@@ -37,6 +37,31 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, f"[{SPACE}]+", -1))
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names``, each with as many underscores in front as it takes to clash with no column."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def matching(docs: DataFrame, keys: DataFrame, how: str, host: str | None = None) -> DataFrame:
+    """``docs`` joined (left_semi, left_anti) with the documents that ``keys`` names.
+
+    ``keys`` has doc_id, text_hash and, where ``host`` names a column of ``docs``, host.
+    """
+    names = unused(docs.columns, "doc", "hash", *(["of"] if host else []))
+    own = ["doc_id", "text_hash", *(["host"] if host else [])]
+    keys = keys.select(*[F.col(c).alias(n) for c, n in zip(own, names)]).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(names[0])) & F.xxhash64("text").eqNullSafe(F.col(names[1]))
+    if host:
+        same = same & F.col(host).eqNullSafe(F.col(names[2]))
+    return docs.join(keys, same, how)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from relprep.llm.common import written
+from relprep.llm.common import unused, written
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary"
 
@@ -181,6 +181,7 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
         return pd.DataFrame({"sequence_id": sequence[i] + past // each[i], "offset": offset[i] + past % each[i] * length.to_numpy()})
 
     before = Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_task.select("length", "_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    placed = numbered.join(offsets, ["length", "_task"]).withColumn("_at", place("length", F.col("_rank") + F.col("_before")))
-    return placed.select(*[c for c in pieces.columns], "_at.sequence_id", "_at.offset")
+    earlier, at = unused(numbered.columns, "_before", "_at")
+    offsets = per_task.select("length", "_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(earlier))
+    placed = numbered.join(offsets, ["length", "_task"]).withColumn(at, place("length", F.col("_rank") + F.col(earlier)))
+    return placed.select(*[c for c in pieces.columns], f"{at}.sequence_id", f"{at}.offset")

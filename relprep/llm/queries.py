@@ -43,8 +43,9 @@ def op5(spark, sf_dir):
     dup AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n FROM raw WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY doc_id),
     norm AS (SELECT doc_id, source, trim(regexp_replace(lower(x), '[ \t\x0B\f\r]+', ' ', 'g'), ' ') AS x FROM raw),
     held AS (SELECT doc_id, source, x, sum(len(string_split(x, ' '))) AS words FROM norm WHERE x <> '' GROUP BY ALL),
-    common AS (SELECT source, x, min(doc_id) AS first FROM held GROUP BY source, x HAVING count(*) > 20),
-    lost AS (SELECT doc_id, sum(words) AS n FROM held JOIN common USING (source, x) WHERE doc_id <> first GROUP BY doc_id),
+    base AS (SELECT d.doc_id, len(w) < 50 OR 100 * coalesce(covered.n, 0) > 50 * len(w) AS failed FROM d LEFT JOIN covered USING (doc_id)),
+    common AS (SELECT source, x, min(doc_id) FILTER (NOT failed) AS carrier FROM held JOIN base USING (doc_id) GROUP BY source, x HAVING count(*) > 20),
+    lost AS (SELECT doc_id, sum(words) AS n FROM held JOIN common USING (source, x) WHERE doc_id IS DISTINCT FROM carrier GROUP BY doc_id),
     m AS (SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
                  CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
                  CAST(coalesce(covered.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(lost.n, 0) AS BIGINT) AS n_removed_words
@@ -62,12 +63,14 @@ def op8(spark, sf_dir):
     "op9_benchmark_decontamination",
     r"""
     WITH d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM documents),
-    b AS (SELECT item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark),
-    ds AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM d WHERE len(w) > 0)),
-    bs AS (SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM b WHERE len(w) > 0)),
-    n AS (SELECT item_id, count(*) AS n_item FROM bs GROUP BY item_id),
-    hit AS (SELECT doc_id, item_id, count(*) AS n_shared FROM ds JOIN bs USING (s) GROUP BY ALL)
-    SELECT doc_id, item_id, n_item, n_shared FROM hit JOIN n USING (item_id) WHERE n_shared * 10 >= n_item * 8
+    b AS (SELECT item, item_id, w, CASE WHEN len(w) < 3 THEN 5 ELSE least(5, len(w)) END AS k
+          FROM (SELECT row_number() OVER () AS item, item_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+') AS w FROM benchmark) WHERE len(w) > 0),
+    ds AS (SELECT DISTINCT doc_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+           FROM (SELECT doc_id, w, k, unnest(range(1, greatest(len(w) - k + 2, 2))) AS i FROM d, (SELECT DISTINCT k FROM b) WHERE len(w) > 0)),
+    bs AS (SELECT DISTINCT item, item_id, k, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT item, item_id, k, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM b)),
+    n AS (SELECT item, count(*) AS n_item FROM bs GROUP BY item),
+    hit AS (SELECT doc_id, item, any_value(item_id) AS item_id, count(*) AS n_shared FROM ds JOIN bs USING (k, s) GROUP BY doc_id, item)
+    SELECT doc_id, item_id, n_item, n_shared FROM hit JOIN n USING (item) WHERE n_shared * 10 >= n_item * 8
     """,
 )
 def op9(spark, sf_dir):

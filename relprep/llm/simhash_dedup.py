@@ -35,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relprep.llm.common import connected_components, partitions, written
+from relprep.llm.common import connected_components, matching, partitions, unused, written
 
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 #: Hashes counted at a time, so that a very long text needs bounded memory.
@@ -204,9 +204,9 @@ def deduplicate(docs: DataFrame, shingle: int = 3, max_bits: int = 3, limit: int
     found = components(docs, shingle, max_bits, limit)
     best = found.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("s")).select("s.doc_id", "s.text_hash")
     best = written(best, "kept")
-    own = docs.withColumn("_hash", F.xxhash64("text"))
-    kept = own.join(best.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")), F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_th")), "left_semi")
+    kept = matching(docs, best, "left_semi")
     repeated = found.groupBy("doc_id", "text_hash").count().where("count > 1")
     if not repeated.isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "_hash"])
+        (text_hash,) = unused(docs.columns, "hash")
+        kept = kept.withColumn(text_hash, F.xxhash64("text")).dropDuplicates(["doc_id", text_hash])
     return kept.select(*docs.columns)
