@@ -43,17 +43,32 @@ def assign_top_n(
 ) -> DataFrame:
     """UPDATE TOP(n) SET column = first; UPDATE SET column = rest WHERE column IS NULL (SRT-5, UPD-2).
 
-    Rows are numbered in parallel by ``order`` (NULL first, as T-SQL sorts)
-    with all other columns as tie-breakers, and the number is compared with
-    n: exactly n rows are updated whatever keys repeat or are NULL, no row
-    is multiplied, and nothing is joined back by a key.
+    The n smallest rows by ``order`` (NULL first, as T-SQL sorts), with all
+    other columns as tie-breakers, are found as a top-n; only the largest of
+    them reaches the driver, and every row is compared with it in one pass
+    without a shuffle.  Where more rows than are due equal it in every column,
+    just those are numbered: exactly n rows are updated whatever repeats, no
+    row is multiplied, and nothing is joined back by a key.
     """
     first_c = first if isinstance(first, Column) else F.lit(first)
     rest_c = rest if isinstance(rest, Column) else F.lit(rest)
-    numbered = with_identity(df, order, "_rank")
     current = F.col(column) if column in df.columns else F.lit(None)
-    updated = F.when(F.col("_rank") <= n, first_c).otherwise(F.coalesce(current, rest_c))
-    return numbered.withColumn(column, updated).drop("_rank")
+    columns = [*order, *[c for c in df.columns if c not in order]]
+    key = F.struct(*columns)
+
+    def updated(rows: DataFrame, due: Column) -> DataFrame:
+        return rows.withColumn(column, F.when(due, first_c).otherwise(F.coalesce(current, rest_c)))
+
+    top = df.orderBy(*[F.col(c).asc_nulls_first() for c in columns]).limit(n).groupBy(*columns).agg(F.count(F.lit(1)).alias("__due"))
+    last = top.orderBy(*[F.col(c).desc_nulls_last() for c in columns]).first()
+    if last is None:
+        return updated(df, F.lit(False))
+    bound = F.struct(*[F.lit(last[c]).cast(df.schema[c].dataType).alias(c) for c in columns])
+    equal = df.where(key.eqNullSafe(bound))
+    if equal.count() == last["__due"]:
+        return updated(df, key <= bound)
+    numbered = updated(with_identity(equal, order, "__rank"), F.col("__rank") <= last["__due"]).drop("__rank")
+    return updated(df.where(~key.eqNullSafe(bound)), key < bound).unionByName(numbered)
 
 
 def keyed_shuffle(df: DataFrame, keys: list[str], salt: str, key_alias: str = "shuffle_key") -> DataFrame:
