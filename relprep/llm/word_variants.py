@@ -17,8 +17,9 @@ equal counts: the smaller word).
 Scale: the first levels deal the trie out over the cluster.  A word is sent to
 its own subtree, and, with the budget spent in these levels, to the few
 others that it can reach (1 + t + t(t-1)/2 for t levels); tasks search their
-subtrees, one in memory at a time, searched by words in blocks.  t is the smallest number of
-levels whose largest subtree has at most ``limit`` words.  A word has as many
+subtrees, one in memory at a time, searched by words in blocks.  t is the
+smallest number of levels whose largest subtree has at most ``limit`` words, and
+at most a task's share of them.  A word has as many
 near words as it has one-letter edits at most, so no group of pairs is hot.
 
 Defined results: null texts have no words; a null doc_id counts as an empty
@@ -37,7 +38,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relprep.llm.common import written
+from relprep.llm.common import partitions, written
 
 _GROUPS = 32
 #: Levels of the trie: groups of the letters from the commonest on, then the groups of no plain letter.
@@ -50,6 +51,8 @@ _LEAF = 8
 _BLOCK, _PAIRS = 8_192, 200_000
 #: Words up to this length are compared in padded rows.
 _PAD = 40
+#: Subtrees of so few words are not cut to be a task's share.
+_SUBTREE = 2_000
 #: Numbers of first levels that may deal the trie out.
 _DEPTHS = (2, 3, 4, 5, 6, 8, 12, 16, 24, 32)
 #: A path's key is the sum of its counts times these.
@@ -254,7 +257,8 @@ def _with_path(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def near_words(words: DataFrame, limit: int = 50_000) -> DataFrame:
     """Directed pairs (word, n, near, n_near) of the distinct words of ``words`` (word, n) one edit apart."""
     paths = words.mapInPandas(_with_path, "word string, n long, path string")
-    top = None
+    share = -(-words.count() // partitions(words.sparkSession))
+    limit, top = min(limit, max(_SUBTREE, share)), None
     for top in _DEPTHS:
         largest = paths.groupBy(F.substring("path", 1, top)).count().agg(F.max("count")).first()[0] or 0
         if largest <= limit:
