@@ -91,7 +91,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 # ---- windows, atoms, segments
 
-_TRIGGER = re.compile(r"[0-9](?:[^\n]{0,40}[0-9])*|@|[\[({]\s?at\s?[\])}]|\sat\s(?=[^\n]{1,40}\sdot\s)", re.I)
+_TRIGGER = re.compile(r"[0-9](?:[^\n]{0,40}[0-9])*|@|[\[({]\s?at\s?[\])}]|\sat\s(?:[^\s]+\s+dot\s|(?=[^\n]{1,40}\sdot\s))", re.I)
 _ATOM = re.compile(r"[^\W\d_]+|[0-9]+|\s+|.", re.S)
 _AT = r"(?:\s?@\s?|\s?[\[({]\s?at\s?[\])}]\s?|\sat\s)"
 _DOT = r"(?:\.|\s?[\[({]\s?dot\s?[\])}]\s?|\sdot\s)"
@@ -112,12 +112,17 @@ _NOT = {"order", "invoice", "version", "release", "isbn", "serial", "id", "ref",
 
 
 def windows(text: str) -> list[tuple[int, int]]:
-    """Merged ranges of ``text`` around what may belong to personal data."""
+    """Merged ranges of ``text`` around what may belong to personal data; none ends inside a token."""
     out: list[list[int]] = []
     for m in _TRIGGER.finditer(text):
         a, b = max(0, m.start() - AROUND), min(len(text), m.end() + AROUND)
-        if out and a <= out[-1][1]:
-            out[-1][1] = b
+        done = out[-1][1] if out else 0
+        while a > done and not text[a].isspace() and not text[a - 1].isspace():
+            a -= 1
+        while done < b < len(text) and not text[b - 1].isspace() and not text[b].isspace():
+            b += 1
+        if out and a <= done:
+            out[-1][1] = max(done, b)
         else:
             out.append([a, b])
     return [(a, b) for a, b in out]
