@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from relprep.llm import decontaminate, line_dedup, packing, quality_rules, simhash_dedup
+from relprep.llm import decontaminate, line_dedup, packing, pii_crf, quality_rules, simhash_dedup
 
 NAMES = ["_id", "_hash", "_th", "_of", "_lines", "_before", "_at", "_n", "hash", "doc", "own", "lines", "gone", "of", "norm", "text_hash", "node", "root", "fp", "host", "item", "kept", "HASH"]
 
@@ -111,3 +111,29 @@ def test_items_too_large_to_broadcast(spark, monkeypatch):
     docs = [(d, words(f"d{d}t", 200)) for d in range(10)]
     items = [(d, " ".join(t.split()[50:80])) for d, t in docs[:5]] + [(77, "d7t9 d7t10 d7t11")]
     assert found(spark, docs, items) == [(d, d, 26, 26) for d in range(5)] + [(7, 77, 1, 1)]
+
+
+# ---- operator 3
+
+
+def test_windows_end_with_their_tokens():
+    name, host = "anna" * 30, "mail" * 30
+    text = f"please write to {name} at {host} dot org today, or {'q' * 300}@x then {'7' * 5}{'w' * 200} end"
+    found = pii_crf.windows(text)
+    assert found and all(a == 0 or text[a - 1].isspace() or text[a].isspace() for a, _ in found)
+    assert all(b == len(text) or text[b].isspace() or text[b - 1].isspace() for _, b in found)
+    at = text.index(name)
+    assert any(a <= at and b >= text.index(" today") for a, b in found)
+    many = "".join(f"a{i}" for i in range(60_000))  # one token of very many triggers
+    assert pii_crf.windows(f"x {many} y")[-1][1] >= len(many)
+
+
+def test_added_spans_start_with_their_words(spark):
+    rows = [(k, f"you can write to {'anna' * k}.smith at example dot com about it") for k in range(1, 30)]
+    for r in pii_crf.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        for s in r.added:
+            assert rows[r.doc_id - 1][1][s.start - 1].isspace(), (r.doc_id, s)
+
+
+def test_personal_data_of_no_rows(spark):
+    assert pii_crf.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
