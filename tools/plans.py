@@ -1,6 +1,7 @@
 """Write the final (post-AQE) physical plan tree of every check query to PLANS.md.
 
 Usage: python tools/plans.py [sf_dir] > PLANS.md
+       python tools/plans.py sf_dir NAME... (only these queries' sections)
 
 Each query is executed with ``collect()`` on its own Dataset so that the
 adaptive plan is finalised, then the operator tree of ``explain("formatted")``
@@ -36,13 +37,12 @@ def main() -> None:
     spark = build_session("local[8]", 8, app_name="relprep-plans")
     from relprep.plans import CHECKS
 
-    print("# Physical plans of the check queries\n")
-    print(f"Final adaptive plans at `{sf_dir}` (local[8], 8 shuffle partitions), generated by `tools/plans.py`.")
-    print("Counts: `Exchange` = shuffle (or reused), `BroadcastExchange` = broadcast side, `Scan` = table reads.")
-    print("At this size AQE measures every dimension under the broadcast threshold and broadcasts it; at")
-    print("100 TB the same logical plans become shuffled sort-merge joins with skew splitting, except for")
-    print("sides whose size is bounded (nation, region, top-n keys, per-partition offsets).\n")
+    only = sys.argv[2:]
+    if not only:
+        preamble(sf_dir)
     for name, c in CHECKS.items():
+        if only and name not in only:
+            continue
         df = c.fn(spark, sf_dir)
         df.collect()
         tree, sub = tree_of(df)
@@ -58,11 +58,20 @@ def main() -> None:
             f"scalar subqueries: {n_sub} (exchanges reused from the main plan: {sub_reuse})\n"
         )
         print("```\n" + tree.rstrip() + "\n```\n")
-        keys = cluster_shape_shuffles(spark, fn, sf_dir)
+        keys = cluster_shape_shuffles(spark, c.fn, sf_dir)
         print("Cluster shape (no broadcast, static plan) shuffles on: " + (", ".join(f"`{k}`" for k in keys) or "none") + "\n")
     spark.stop()
 
 
+def preamble(sf_dir: str) -> None:
+    print("# Physical plans of the check queries\n")
+    print(f"Final adaptive plans at `{sf_dir}` (local[8], 8 shuffle partitions), generated by `tools/plans.py`.")
+    print("Counts: `Exchange` = shuffle (or reused), `BroadcastExchange` = broadcast side, `Scan` = table reads.")
+    print("At this size AQE measures every dimension under the broadcast threshold and broadcasts it; at")
+    print("100 TB the same logical plans become shuffled sort-merge joins with skew splitting, except for")
+    print("sides whose size is bounded (nation, region, top-n keys, per-partition offsets).\n")
+
+
 def cluster_shape_shuffles(spark, fn, sf_dir) -> list[str]:
     """Hash-partitioning keys of the plan when no side may be broadcast:
     the shuffles a 100 TB run would do (nation/region aside)."""
