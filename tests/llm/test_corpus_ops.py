@@ -720,4 +720,9 @@ def test_short_and_symbol_secrets_are_candidates(spark):
 
 def test_secret_scan_awkward_rows(awkward):
     assert secret_forest.scan(awkward).columns == ["doc_id", "start", "stop", "run", "score"]
-    assert secret_forest.scan(awkward).count() >= 0
+    texts = {r.doc_id: r.text for r in awkward.collect()}
+    found = secret_forest.findings(awkward).collect()
+    assert found and all(texts[r.doc_id][r.start : r.stop] == r.run for r in found)
+    kept = [(r.doc_id, r.start, r.stop, r.run) for r in secret_forest.scan(awkward).collect()]
+    assert set(kept) <= {(r.doc_id, r.start, r.stop, r.run) for r in found}
+    assert not {d for d, *_ in kept} & {3, 4, 5, 6}
