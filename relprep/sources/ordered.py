@@ -47,8 +47,8 @@ def read_positions(spark: SparkSession, path: str, schema: StructType, alias: st
     """The rows with their position from 1 on, by a scan and a join with one row a file."""
     stored = spark.read.schema(schema).parquet(path)
     at = stored.select(*schema.names, F.col("_metadata.file_name").alias("__file"), F.col("_metadata.row_index").alias("__row"))
-    offsets = bounds(spark, path).select(F.col("file").alias("__file"), "offset")
-    return at.join(offsets, "__file").select(*schema.names, (F.col("offset") + F.col("__row") + 1).alias(alias))
+    offsets = bounds(spark, path).select(F.col("file").alias("__file"), "offset")  # one row a file
+    return at.join(F.broadcast(offsets), "__file").select(*schema.names, (F.col("offset") + F.col("__row") + 1).alias(alias))
 
 
 def _files(spark: SparkSession, path: str, lo: Any = None, hi: Any = None) -> list[str]:
