@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from relprep.llm import conversation_trie, token_counts, word_variants
+from relprep.llm import conversation_trie, queries, token_counts, word_variants  # noqa: F401
 from relprep.llm.registry import QUERIES
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -213,7 +213,7 @@ def test_variants_of_anagrams_and_no_words(spark):
 
 def test_document_words(spark):
     rows = [(1, "ABCDEFGHI abcdefghi ÀÉÎÕÜßñ ×÷×÷×÷× xx sevenlet " * 3), (None, "lonelyword lonelyword"), (2, None), (3, ""), (3, "abcdefghi" * 50), (3, "abcdefghi" * 50)]
-    rows += [(i, "wonderful") for i in range(100)]
+    rows += [(i, "wonderful") for i in range(2000)]
     got = word_variants.document_words(spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, run int"))
     want = plain_words(rows)
     assert {r.word: r.n for r in got.collect()} == want and len({w for w in want if len(w) == 8}) > 1
