@@ -49,6 +49,8 @@ _LEVEL_OF = np.argsort(LEVELS)
 _LEAF = 8
 #: Words searched for at a time, and pairs verified at a time.
 _BLOCK, _PAIRS = 8_192, 200_000
+#: Pairs at the fullest leaf that a block of words may reach at a time.
+_FOUND = 4_000_000
 #: Words up to this length are compared in padded rows.
 _PAD = 40
 #: Subtrees of so few words are not cut to be a task's share.
@@ -125,6 +127,8 @@ class Trie:
             node = np.cumsum(new) - 1
             if len(first) == m:
                 break
+        #: Words below the fullest leaf.
+        self.widest = max(_LEAF, int(np.diff(self.starts[-1]).max(initial=0)) if self.starts else m)
 
     def reached(self, counts: np.ndarray, spent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(row of ``counts``, index word) for every word at a leaf that the budget reaches.
@@ -161,9 +165,9 @@ class Trie:
 
     def near(self, asked: Words, spent: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Verified pairs (word of ``asked``, word of the index), each once over the whole search."""
-        for i in range(0, len(spent), _BLOCK):
-            own = spent[i : i + _BLOCK]
-            q, r = self.reached(asked.counts[i : i + _BLOCK], own)
+        block = max(1, min(_BLOCK, _FOUND // self.widest))  # words of very many anagrams are searched for in smaller blocks
+        for i in range(0, len(spent), block):
+            q, r = self.reached(asked.counts[i : i + block], spent[i : i + block])
             for j in range(0, len(q), _PAIRS):
                 a, b = q[j : j + _PAIRS] + i, r[j : j + _PAIRS]
                 change = self.index.counts[b] - asked.counts[a]
