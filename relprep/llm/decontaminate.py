@@ -31,7 +31,8 @@ Verification: exact containment of shingle texts, on candidates alone.
 Scale: documents are read once for the sketch, once for each length of short
 items (none where there are no such items) and once for the candidates.  The
 items' side is broadcast only if its texts and hashes have at most
-``BROADCAST_BYTES``, measured first; beyond that the joins shuffle.  A passage
+``BROADCAST_BYTES``, measured first, and so are the candidates, which fetch
+their documents' texts; beyond that the joins shuffle.  A passage
 found in a third of all documents gives one pair for each, spread by document.
 
 Defined results: null and wordless texts and items match nothing; equal items
@@ -52,6 +53,8 @@ SHINGLE = 5
 DENSITY_BITS = 3
 #: The items' side is broadcast up to this size: the shingles' texts and 32 bytes for each.
 BROADCAST_BYTES = 16 << 20
+#: A candidate pair's share of the broadcast.
+CANDIDATE_BYTES = 96
 #: Items of at most so many shingles are looked up among all shingles of a document.
 FEW = 4
 #: Shorter items, in words, are found only in texts that hold nothing else.
@@ -139,6 +142,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, size: i
     wanted = pairs.join(F.broadcast(lengths) if small else lengths, "item").groupBy("doc_id", "text_hash", "size").agg(F.collect_set("item").alias("found"))
     text = docs.select(F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_hash"), "text")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))
+    # The texts are not moved where the candidates are few: at most CANDIDATE_BYTES each, counted first.
+    wanted = F.broadcast(wanted) if pairs.count() * CANDIDATE_BYTES <= BROADCAST_BYTES else wanted
     held = text.join(wanted, same).withColumn("w2", _words(F.col("text")))
     own = F.transform(_starts("w2", F.col("size")), lambda i: F.array_join(F.slice("w2", i + 1, F.col("size")), " "))
     held = held.withColumn("own", F.array_distinct(own)).select("doc_id", "text_hash", "own", F.explode("found").alias("item"))
