@@ -85,7 +85,13 @@ def gram_scores(grams: DataFrame, model: DataFrame, order: int = ORDER) -> DataF
     totals = model.groupBy("context").agg(*[f(F.col(k)).alias(f"{k}_{n}") for k in kinds for n, f in (("n", F.sum), ("types", lambda c: F.sum((c > 0).cast("long"))))])
     each = grams.select("gram", F.explode(F.sequence(F.lit(0), F.lit(order))).alias("k"))
     each = each.select("gram", "k", F.substr("gram", F.lit(order + 1) - F.col("k"), F.col("k")).alias("context"), F.substr("gram", F.lit(order + 1), F.lit(1)).alias("char"))
-    met = each.join(model, ["context", "char"], "left").join(totals, "context", "left")
+    # Every gram has the empty context, whose totals are scalars; there it is dealt out by itself, which is no context's length.
+    names = [f"{k}_{n}" for k in kinds for n in ("n", "types")]
+    rest = totals.where("context <> ''").withColumnRenamed("context", "_context")
+    key = F.when(F.col("k") == 0, F.col("gram")).otherwise(F.col("context"))
+    met = each.join(model, ["context", "char"], "left").withColumn("_key", key).join(rest, F.col("_key") == F.col("_context"), "left")
+    empty = totals.where("context = ''")
+    met = met.select("gram", "k", *kinds, *[F.when(F.col("k") == 0, empty.select(c).scalar()).otherwise(F.col(c)).alias(c) for c in names])
     cells = F.sort_array(F.collect_list(F.struct("k", *[F.coalesce(F.col(c), F.lit(0)).cast("double").alias(c) for k in kinds for c in (k, f"{k}_n", f"{k}_types")])))  # order + 1 of them
 
     def fold(kind: str) -> Column:
