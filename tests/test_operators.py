@@ -205,6 +205,14 @@ def test_fk_violations(spark):
     assert rows(Q.fk_violations(child, ["k"], parent, ["id"]), "k", "n_rows") == [(5, 3)]
 
 
+def test_fk_query_holds_lines_against_the_orders_of_every_status(spark, tmp_path):
+    from relprep.plans import CHECKS
+
+    spark.createDataFrame([(1, "F"), (2, "O"), (3, "P"), (4, None)], "o_orderkey long, o_orderstatus string").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(k,) for k in (1, 2, 3, 3, 4, 5, 5, None)], "l_orderkey long").write.parquet(str(tmp_path / "lineitem.parquet"))
+    assert rows(CHECKS["q_dq_fk"].fn(spark, str(tmp_path)), "l_orderkey", "n_rows") == [(5, 2)]
+
+
 def test_unique_violations_counts_null(spark):
     df = spark.createDataFrame([("a",), ("a",), (None,), (None,), ("b",)], "c string")
     got = {r.c: r.n_rows for r in Q.unique_violations(df, "c").collect()}
