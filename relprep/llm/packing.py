@@ -47,7 +47,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, cut: str = "word", capacity:
         enc = encoder(vocabulary, cut)
         for batch in batches:
             texts, ids = batch["text"].tolist(), batch["doc_id"].tolist()
-            for i, j in groups(texts):
+            for i, j in groups(texts, 4_000_000):
                 rows = []
                 for d, raw in zip(ids[i:j], enc.encode(texts[i:j])):
                     raw += end

@@ -166,7 +166,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, cut: str = "space", end_id: i
 
         for batch in batches:
             texts, named = batch["text"].tolist(), [None if null else d for d, null in zip(batch["doc_id"].tolist(), batch["_null"].tolist())]
-            for i, j in groups(texts):
+            for i, j in groups(texts, 4_000_000):
                 for d, r in zip(named[i:j], enc.encode(texts[i:j])):
                     n = len(r) // 4 + 1
                     if held and held + n > segment:

@@ -243,6 +243,23 @@ def test_cached_ids_are_the_librarys(docs, name, cut):
         assert own.encode(texts) == want
 
 
+@pytest.mark.parametrize("name,cut", [("word_bpe_49k.json", "word"), ("byte_bpe_50k.json", "space")])
+def test_a_word_that_many_texts_hold_is_looked_up_once(name, cut):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counted.asked += 1
+            return super().get(*key)
+
+    lib, own = Tokenizer.from_file(public_tokenizers.path(name)), Encoder(public_tokenizers.path(name), cut)
+    own.new, own.old = Counted(), Counted()
+    texts = [f"Some words, many times: some words. {'Some words and ' * 50}\nsome words" for _ in range(40)] + ["", " ", "\n", "a <|ENDOFTEXT|> b"]
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in lib.encode_batch(texts, add_special_tokens=False)]
+    assert own.encode(texts) == want and own.encode([]) == []
+    assert Counted.asked < 100
+
+
 @pytest.mark.parametrize("which", ["docs", "awkward"])
 def test_packing(which, request):
     table = request.getfixturevalue(which)
