@@ -51,10 +51,10 @@ WIDTH = 50
 GRAM = 20
 WINDOW = WIDTH - GRAM + 1
 STRIDE = 81  # a context and padding, a multiple of 3
-#: Contexts sorted at a time (about 1.5 KB of working memory each).
-CONTEXTS = 30_000
+#: Contexts sorted at a time (about 5 KB of working memory each).
+CONTEXTS = 10_000
 #: Bytes whose records are dealt out at a time, and hashed at a time.
-FLUSH = 8_000_000
+FLUSH = 4_000_000
 BLOCK = 1_000_000
 _LAST = (1 << 63) - 1
 

@@ -260,6 +260,20 @@ def test_a_word_that_many_texts_hold_is_looked_up_once(name, cut):
     assert Counted.asked < 100
 
 
+def test_contexts_sorted_at_a_time_need_little_memory():
+    import tracemalloc
+
+    from relprep.llm import suffix_dedup
+
+    rng = np.random.default_rng(1)
+    contexts = [rng.integers(97, 122, 80, dtype=np.uint8).tobytes() for _ in range(suffix_dedup.CONTEXTS)]
+    tracemalloc.start()
+    found = suffix_dedup.run_minima(contexts, np.arange(len(contexts)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert all((x == k).all() for k, x in enumerate(found)) and peak < 80_000_000
+
+
 @pytest.mark.parametrize("which", ["docs", "awkward"])
 def test_packing(which, request):
     table = request.getfixturevalue(which)
