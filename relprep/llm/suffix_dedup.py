@@ -30,6 +30,8 @@ contexts are one row, with their smallest doc_id, before they are sorted, so a
 passage in a third of all documents is one context.  Buckets hold about
 ``CONTEXTS`` contexts at any input size.
 
+Disk: a table between two steps is removed as soon as the next one is written.
+
 Defined results: a null text is empty; a null doc_id is larger than any other
 and not larger than a null one; equal rows do not remove each other; texts
 under WIDTH bytes stay; no rows give no rows; other columns are ignored.
@@ -45,7 +47,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from relprep.llm.common import partitions, written
+from relprep.llm.common import Passing, partitions, written
 
 WIDTH = 50
 GRAM = 20
@@ -248,6 +250,8 @@ def run_minima(contexts: list[bytes], first: np.ndarray) -> list[np.ndarray]:
     valid = place[None, :] < count[:, None]
     for pair, lead, tail in (((0, 1), 1, 1), ((0, 2), 2, 0), ((1, 2), 0, 2)):
         row, col = np.nonzero(valid & np.isin(place % 3, pair)[None, :])
+        if not len(row):  # contexts of one string each
+            continue
         key = name48[row, col + lead] << 16
         for k in range(lead):
             key |= text[row, col + k].astype(np.int64) << (8 * k)
@@ -290,22 +294,24 @@ def _ranges(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def removals(docs: DataFrame) -> DataFrame:
     """(tid, first, ranges): sorted, disjoint byte ranges that go from the first document of each text."""
     spark = docs.sparkSession
-    n = partitions(spark)
+    n, tables = partitions(spark), Passing(spark)
     own = docs.select("tid", "place_of", "data").where(F.octet_length("data") >= WIDTH)
     buckets = 3 * n
     found = own.select("tid", "data").mapInPandas(_records(buckets), "bucket int, blob binary")
     found = found.repartition(n, "bucket").sortWithinPartitions("bucket").mapInPandas(_contested, "tid long, value long, place long, size int")
-    contested = written(found, "contested")
+    contested = tables.written(found, "contested")
     firsts = own.groupBy("tid").agg(F.min("place_of").alias("first"))
     at = contested.groupBy("tid").agg(F.collect_set(F.struct("value", "place", "size")).alias("at")).join(firsts, "tid")
     met = at.withColumnRenamed("tid", "_tid").join(own, (F.col("_tid") == F.col("tid")) & (F.col("first") == F.col("place_of")))
     contexts = met.select("tid", "first", "data", "at").mapInPandas(_cut_contexts, "tid long, first long, value long, place long, size int, context binary")
-    contexts = written(contexts.withColumn("hash", F.xxhash64("context")), "contexts")
+    contexts = tables.written(contexts.withColumn("hash", F.xxhash64("context")), "contexts")
+    tables.remove("contested")
     alike = contexts.groupBy("value", "hash").agg(F.min("first").alias("low"), F.max("first").alias("high"), F.first("context").alias("context"))
-    alike = written(alike, "distinct-contexts")
+    alike = tables.written(alike, "distinct-contexts")
     share = max(n, -(-alike.count() // CONTEXTS))
     sorted_in = alike.withColumn("bucket", F.pmod("value", F.lit(share))).repartition(n, "bucket").sortWithinPartitions("bucket")
-    judged = written(sorted_in.select("bucket", "value", "hash", "low", "high", "context").mapInPandas(_judge, "value long, hash long, minima array<bigint>"), "judged")
+    judged = tables.written(sorted_in.select("bucket", "value", "hash", "low", "high", "context").mapInPandas(_judge, "value long, hash long, minima array<bigint>"), "judged")
+    tables.remove("distinct-contexts")
     gone = contexts.drop("context").join(judged, ["value", "hash"]).select("tid", "first", "place", "minima").mapInPandas(_ranges, "tid long, first long, start long, stop long")
     listed = gone.groupBy("tid", "first").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("r"))
     # Overlapping and touching ranges become one.
@@ -317,14 +323,16 @@ def removals(docs: DataFrame) -> DataFrame:
             F.concat(F.slice(a, 1, F.size(a) - 1), F.array(F.struct(F.element_at(a, -1)["start"].alias("start"), F.greatest(F.element_at(a, -1)["stop"], x["stop"]).alias("stop")))),
         ).otherwise(F.concat(a, F.array(x))),
     )
-    return listed.select("tid", "first", grow.alias("ranges"))
+    listed = written(listed.select("tid", "first", grow.alias("ranges")), "removals")
+    tables.remove("contexts", "judged")
+    return listed
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) for every row; ``kept`` holds the remaining bytes."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text, F.octet_length(text)).alias("tid"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("place_of"), text.cast("binary").alias("data"))
-    gone = written(removals(rows), "removals")
+    gone = removals(rows)
     narrow = rows.where(F.octet_length("data") >= WIDTH).select("tid", "place_of").distinct()
     firsts = narrow.groupBy("tid").agg(F.min("place_of").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
     copies = narrow.join(firsts, "tid").where("place_of > first").select("tid", "place_of", F.lit(True).alias("copy"), F.lit(None).cast("array<struct<start:bigint,stop:bigint>>").alias("ranges"))

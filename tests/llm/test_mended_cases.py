@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from relprep.llm import decontaminate, line_dedup, packing, pii_crf, quality_rules, simhash_dedup
+from relprep.llm import decontaminate, line_dedup, packing, pii_crf, quality_rules, simhash_dedup, suffix_dedup
+from relprep.session import scratch_in
 
 NAMES = ["_id", "_hash", "_th", "_of", "_lines", "_before", "_at", "_n", "hash", "doc", "own", "lines", "gone", "of", "norm", "text_hash", "node", "root", "fp", "host", "item", "kept", "HASH"]
 
@@ -137,3 +138,12 @@ def test_added_spans_start_with_their_words(spark):
 
 def test_personal_data_of_no_rows(spark):
     assert pii_crf.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_suffix_dedup_leaves_no_tables_between_steps(spark, tmp_path):
+    passage = " ".join(f"word{i}" for i in range(40))
+    rows = [(d, f"text {d} begins, {passage}, and ends with {d * 7}") for d in range(6)]
+    with scratch_in(str(tmp_path)):
+        got = suffix_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.n_spans) for r in got) == [(d, int(d > 0)) for d in range(6)]
+    assert {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()} == {"removals", "verdicts"}
