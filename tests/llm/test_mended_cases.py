@@ -147,3 +147,20 @@ def test_suffix_dedup_leaves_no_tables_between_steps(spark, tmp_path):
         got = suffix_dedup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r.doc_id, r.n_spans) for r in got) == [(d, int(d > 0)) for d in range(6)]
     assert {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()} == {"removals", "verdicts"}
+
+
+def test_line_dedup_compares_what_lies_between_common_ends(spark):
+    long = " ".join(f"wört{i}" for i in range(800))
+    texts = [
+        ("", "a"), ("same", "same"), ("aaaa", "aa"), ("abab", "ab"), ("𝒳y", "𝒳"), ("one two three", "one 2 three"), ("漢字 x 漢字", "漢字 漢字"),
+        ("the cat sat on the mat", "the dog sat on a mat"), ("a b c d e", "a c d e"), (words("x", 30), words("y", 30)), (long, long.replace("wört700", "other")), (long, f"x {long} y"),
+    ]
+    pairs = spark.createDataFrame([(2 * k, 2 * k + 1) for k in range(len(texts))], "a long, b long")
+    lines = spark.createDataFrame([(2 * k + j, t) for k, both in enumerate(texts) for j, t in enumerate(both)], "line long, norm string")
+    both = spark.createDataFrame([(2 * k, x, y) for k, (x, y) in enumerate(texts)], "k long, x string, y string")
+    found = both.select("k", "x", "y", line_dedup._middles(F.col("x"), F.col("y")).alias("m")).select("k", "m", F.levenshtein("x", "y").alias("whole"), F.levenshtein("m.a", "m.b").alias("middle"), F.greatest(F.length("x"), F.length("y")).alias("size")).collect()
+    assert all(r.whole == r.middle for r in found)
+    assert {r.k: tuple(r.m) for r in found}[20] == ("wört700"[::-1], "other"[::-1])
+    for similarity in (0.5, 0.8):
+        want = {r.k for r in found if r.whole <= int((1 - similarity) * r["size"] + 1e-9)}
+        assert {r.a for r in line_dedup._verified(pairs, lines, similarity).collect()} == want
