@@ -1,6 +1,8 @@
 """Cases that once lost results: carriers that fail, short and unnamed items, columns with clashing names."""
 
+import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from relprep.llm import decontaminate, line_dedup, packing, pii_crf, quality_rules, simhash_dedup, suffix_dedup
@@ -164,3 +166,57 @@ def test_line_dedup_compares_what_lies_between_common_ends(spark):
     for similarity in (0.5, 0.8):
         want = {r.k for r in found if r.whole <= int((1 - similarity) * r["size"] + 1e-9)}
         assert {r.a for r in line_dedup._verified(pairs, lines, similarity).collect()} == want
+
+
+def test_line_dedup_does_not_compare_all_pairs_of_a_group(spark, monkeypatch):
+    """Near copies are linked by about as many comparisons as there are lines, not by all their pairs."""
+    base = words("w", 200).split(" ")
+    rows = [(d, " ".join(base[:k] + [f"new{d}"] + base[k + 1 :])) for d, k in enumerate(range(0, 200, 4))] + [(90, words("x", 200))]
+    tried, verified = [], line_dedup._verified
+    monkeypatch.setattr(line_dedup, "_verified", lambda pairs, *more: tried.append(pairs.distinct().count()) or verified(pairs, *more))
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    fps = {r.doc_id: r.fp for r in line_dedup.line_table(table).collect()}
+    near = [(a, b) for a in fps for b in fps if a < b < 90 and (fps[a] ^ fps[b]).bit_count() <= 2]
+    root = {d: d for d in fps}
+    for _ in fps:
+        for a, b in near:
+            root[a] = root[b] = min(root[a], root[b])
+    assert len(near) > 150
+    got = {r.doc_id for r in line_dedup.decisions(table).collect()}
+    assert got == {d for d in fps if root[d] != d}
+    assert sum(tried) < len(near) / 2
+
+
+@pytest.mark.parametrize("sizes", [range(1, 70), [92, 93, 94, 255, 256], [15_996, 15_997, 16_000, 16_001]])
+def test_line_simhash_counts_groups_of_words(spark, sizes):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["the", "of", "añb", "漢字", "q7", "z"], n).tolist()) for n in sizes]
+    rows = line_dedup.fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = {(r.doc_id, r.wide): r.fp for r in rows}
+    for d, t in enumerate(texts):
+        w = t.split(" ")
+        both = [[" ".join(w[i : i + 2]) for i in range(len(w))], w] if len(w) > line_dedup.LONG else [w]
+        for wide, features in enumerate(both):
+            h = np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in features], dtype="uint64")
+            assert got[d, wide] == sum(1 << b for b in range(60) if 2 * int((h >> np.uint64(b) & np.uint64(1)).sum()) > len(h)), (len(w), wide)
+    assert len(got) == sum(1 + (len(t.split(" ")) > line_dedup.LONG) for t in texts)
+
+
+def test_line_dedup_tells_far_lines_without_their_frequent_letters(spark):
+    rng = np.random.default_rng(6)
+    vocabulary = ["the", "eat", "toe", "in", "krzm", "bglp", "漢字", "añb", "q7"]
+    draw = lambda n, p: [vocabulary[i] for i in rng.choice(len(vocabulary), n, p=p)]
+    texts = []
+    for n in (3, 20, 60, 150):
+        for p in (np.array([6, 5, 4, 5, 0.1, 0.1, 0.1, 0.1, 0.1]), np.ones(9)):
+            a = draw(n, p / p.sum())
+            texts += [(a, draw(n, p / p.sum())), (a, rng.permutation(a).tolist()), (a, [*draw(n // 8 + 1, p / p.sum()), *a]), (a, [x for x in a if rng.random() < 0.8])]
+            texts += [(a, [x if rng.random() < q else vocabulary[rng.integers(9)] for x in a]) for q in (0.95, 0.8, 0.7, 0.6)]
+    texts = [(" ".join(a), " ".join(b)) for a, b in texts]
+    pairs = spark.createDataFrame([(2 * k, 2 * k + 1) for k in range(len(texts))], "a long, b long")
+    lines = spark.createDataFrame([(2 * k + j, t) for k, both in enumerate(texts) for j, t in enumerate(both)], "line long, norm string")
+    found = spark.createDataFrame([(2 * k, x, y) for k, (x, y) in enumerate(texts)], "k long, x string, y string").select("k", F.levenshtein("x", "y").alias("d"), F.greatest(F.length("x"), F.length("y")).alias("size")).collect()
+    for similarity in (0.4, 0.6, 0.8):
+        want = {r.k for r in found if r.d <= int((1 - similarity) * r["size"] + 1e-9)}
+        assert 5 < len(want) < len(texts) - 5
+        assert {r.a for r in line_dedup._verified(pairs, lines, similarity).collect()} == want
